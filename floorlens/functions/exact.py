@@ -47,3 +47,9 @@ def sum_if(condition: Column, value: Column | str) -> Column:
 
 def zero_if_null(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(0)).alias(name)
+
+
+def near(value: Column | str, places: int = 2) -> Column:
+    """Float rounding: nearest, halves to even."""
+    factor = F.lit(float(10**places))
+    return F.rint(_col(value).cast("double") * factor) / factor

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from floorlens.operators import features, views
+from floorlens.operators import features, quality, views
 from floorlens.operators.reports import executive, health, location, machine, player
 from floorlens.sources.bind import Floor
 
@@ -109,6 +109,21 @@ REPORTS: dict[str, Query] = {
     "e12_master_dataset": executive.master_dataset,
 }
 
+QUALITY: dict[str, Query] = {
+    "q1_primary_keys": quality.primary_keys,
+    "q2_orphans": quality.orphans,
+    "q3_location_agreement": quality.location_agreement,
+    "q4_negative_amounts": quality.negative_amounts,
+    "q5_revenue_arithmetic": quality.revenue_arithmetic,
+    "q6_reconciliation": quality.revenue_reconciliation,
+    "q7_timestamps": quality.timestamps,
+    "q8_summary": quality.summary,
+    "q9_relationship_agreement": quality.relationship_agreement,
+    "q10_severity_domain": quality.severity_domain,
+    "q11_completeness": quality.completeness,
+    "q12_declared_constraints": quality.declared_constraints,
+}
+
 
 def all_queries() -> dict[str, Query]:
-    return {**VIEWS, **FEATURES, **REPORTS}
+    return {**VIEWS, **FEATURES, **REPORTS, **QUALITY}

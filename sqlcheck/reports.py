@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from sqlcheck.base import add, catalog
-from sqlcheck.text import case, cents, mean, mean_over, percent, ratio
+from sqlcheck.text import case, mean, mean_over, percent, ratio
 
 HOLD = ratio("sum(net_gaming_revenue)", "sum(total_wager)") + " AS actual_hold_pct"
 BODY: dict[str, str] = {}
@@ -404,7 +404,7 @@ BODY["h8_mtbf"] = "SELECT * FROM mtbf"
 BODY["h9_reliability"] = f"""
 SELECT h.machine_id, location_name, manufacturer, game_title, software_version, total_event_count,
   total_downtime_minutes, mttr_minutes, mtbf_minutes,
-  {ratio(cents('mtbf_minutes'), cents('mtbf_minutes') + '+' + cents('mttr_minutes'))} AS reliability_availability_ratio
+  {ratio('mtbf_minutes', 'mtbf_minutes+mttr_minutes')} AS reliability_availability_ratio
 FROM v_health AS h LEFT JOIN mttr AS a ON a.machine_id = h.machine_id LEFT JOIN mtbf AS b ON b.machine_id = h.machine_id"""
 _rel = f"""count(*) AS machine_count, sum(total_event_count) AS total_events,
   sum(unplanned_event_count) AS unplanned_events, sum(critical_event_count) AS critical_events,

@@ -23,8 +23,8 @@ def ratio(top: str, bottom: str, scale: int = 4) -> str:
     """top / bottom in ten-thousandths, rounded half away from zero once, without floating point."""
     t, b = f"CAST(({top})*CAST(10000 AS BIGINT) AS HUGEINT)", f"CAST(({bottom})*CAST(10000 AS BIGINT) AS HUGEINT)"
     return (
-        f"((sign({t})*sign({b})*((abs({t})*{2 * 10**scale}+abs({b}))//nullif(2*abs({b}),0)))"
-        f"/CAST({10**scale} AS DOUBLE))"
+        f"CAST((sign({t})*sign({b})*((abs({t})*{2 * 10**scale}+abs({b}))//nullif(2*abs({b}),0)))"
+        f"/CAST({10**scale} AS DOUBLE) AS DECIMAL(18,{scale}))"
     )
 
 
@@ -40,9 +40,9 @@ def mean_over(value: str, window: str, scale: int = 2) -> str:
     return ratio(f"sum({value}) OVER ({window})", f"count({value}) OVER ({window})", scale)
 
 
-def cents(expression: str) -> str:
-    """A ratio() result as an exact two-place decimal."""
-    return f"CAST({expression} AS DECIMAL(18,2))"
+def near(value: str, places: int = 2) -> str:
+    """Float rounding: nearest, halves to even."""
+    return f"round_even(({value})*{10**places}.0e0, 0)/{10**places}.0e0"
 
 
 def case(column: str, steps: list[tuple[object, str]], otherwise: str) -> str:
