@@ -246,7 +246,7 @@ def machine_anomaly(floor: Floor, limit: float = ANOMALY_LIMIT) -> DataFrame:
     )
     return (
         daily.join(F.broadcast(per_day), "activity_date")
-        .withColumns({f"{name}_z_score": F.round(z(name), 4) for name in measures})
+        .withColumns({f"{name}_z_score": z(name).cast("decimal(18,4)") for name in measures})
         .withColumn("rule_based_anomaly_flag", F.when(unusual, 1).otherwise(0))
         .select(*daily.columns, *[f"{name}_z_score" for name in measures], "rule_based_anomaly_flag")
     )

@@ -115,8 +115,8 @@ SELECT activity_date, avg(CAST(net_gaming_revenue AS DOUBLE)) AS rm, stddev_samp
   avg(CAST(downtime_minutes AS DOUBLE)) AS dm, stddev_samp(CAST(downtime_minutes AS DOUBLE)) AS ds
 FROM v_daily GROUP BY 1""")
 add("anomaly_feature", """
-SELECT * EXCLUDE (rz, wz, dz), round(rz, 4) AS revenue_z_score, round(wz, 4) AS wager_z_score,
-  round(dz, 4) AS downtime_z_score,
+SELECT * EXCLUDE (rz, wz, dz), CAST(rz AS DECIMAL(18,4)) AS revenue_z_score, CAST(wz AS DECIMAL(18,4)) AS wager_z_score,
+  CAST(dz AS DECIMAL(18,4)) AS downtime_z_score,
   CASE WHEN abs(rz) >= 3 OR abs(wz) >= 3 OR dz >= 3 OR critical_event_count > 0 THEN 1 ELSE 0 END
     AS rule_based_anomaly_flag
 FROM (

@@ -60,7 +60,7 @@ class Catalog:
         self.parts[name] = body
 
     def _needs(self, body: str) -> list[str]:
-        words = set(re.findall(r"\b[a-z_0-9]+\b", body))
+        words = set(re.findall(r"\b(?:FROM|JOIN)\s+([a-z_0-9]+)", body))
         return [name for name in self.parts if name in words]
 
     def sql(self, body: str) -> str:
