@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from floorlens.functions.exact import count_if
+from floorlens.operators.quantiles import exact_quantile
 
 # The columns each model may see.
 CHURN_CATEGORICAL = ["loyalty_tier", "age_band", "home_region"]
@@ -130,12 +131,10 @@ def numeric(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def fill_medians(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Replace NULLs by the exact median of the column, taken in one pass as a single row."""
-    medians = df.agg(*[F.median(c).alias(f"_median_{c}") for c in columns])
-    filled = df.crossJoin(F.broadcast(medians)).withColumns(
-        {c: F.coalesce(F.col(c), F.col(f"_median_{c}")) for c in columns}
-    )
-    return filled.drop(*medians.columns)
+    """Replace NULLs by the exact median of the column; columns without NULLs are left alone."""
+    gaps = df.agg(*[count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
+    medians = {c: exact_quantile(df, c, 0.5) for c in columns if gaps[c]}
+    return df.fillna({c: m for c, m in medians.items() if m is not None})
 
 
 def forecast_rows(df: DataFrame, spec: Dataset) -> DataFrame:

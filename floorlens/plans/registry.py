@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from floorlens.operators import features, quality, views
 from floorlens.operators.reports import executive, health, location, machine, player
-from floorlens.plans import scored
+from floorlens.plans import scored, trained
 from floorlens.sources.bind import Floor
 
 Query = Callable[[Floor], DataFrame]
@@ -127,4 +127,4 @@ QUALITY: dict[str, Query] = {
 
 
 def all_queries() -> dict[str, Query]:
-    return {**VIEWS, **FEATURES, **REPORTS, **QUALITY, **scored.ML, **scored.LOOKUPS}
+    return {**VIEWS, **FEATURES, **REPORTS, **QUALITY, **scored.ML, **scored.LOOKUPS, **trained.TRAINED}

@@ -21,7 +21,7 @@ from floorlens.operators.reports.executive import daily_activity
 from floorlens.operators.reports.player import active_players
 from floorlens.sources.bind import Floor
 
-ANOMALY_SHARE = 0.93
+ANOMALY_SCORE = 9.3
 SESSION_BANDS = [(46, 3), (38, 2), (30, 1)]
 SLA_MINUTES = {"Critical": 20_000, "High": 40_000, "Medium": 80_000}
 SLA_OTHER = 160_000
@@ -42,11 +42,11 @@ def failure(floor: Floor) -> DataFrame:
 def anomaly(floor: Floor) -> DataFrame:
     # The z-scores are decimals, so their sum and its ties are the same in every engine.
     parts = [F.coalesce(F.abs(f"{m}_z_score"), F.lit(0)) for m in ("revenue", "wager", "downtime")]
-    score = (parts[0] + parts[1] + parts[2]).cast("double") / F.lit(10.0)
+    score = (parts[0] + parts[1] + parts[2]).cast("double")
     return (
         features.machine_anomaly(floor)
         .withColumn("anomaly_score", score)
-        .withColumn("isolation_forest_anomaly_flag", (F.col("anomaly_score") >= ANOMALY_SHARE).cast("int"))
+        .withColumn("isolation_forest_anomaly_flag", (F.col("anomaly_score") >= ANOMALY_SCORE).cast("int"))
     )
 
 

@@ -115,6 +115,23 @@ FROM (SELECT churn_flag, churn_probability, min(churn_probability) OVER (PARTITI
     max(churn_probability) OVER (PARTITION BY churn_flag) AS high FROM churn_scored) AS x
 GROUP BY 1, 2"""
 
+_numbers = ["marketing_opt_in", "registered_active_flag", "days_since_last_session", "observed_player_lifetime_days",
+            "total_historical_sessions", "sessions_last_30_days", "sessions_last_90_days", "locations_visited",
+            "machines_played", "total_session_minutes", "average_session_minutes", "total_rounds", "total_wager",
+            "total_payout", "player_net_revenue", "average_wager_per_session", "wager_last_30_days", "wager_last_90_days",
+            "revenue_last_30_days", "revenue_last_90_days", "sessions_per_observed_day"]
+_scaled = ", ".join(f"coalesce((CAST({c} AS DOUBLE) - avg(CAST({c} AS DOUBLE)) OVER ()) / "
+                    f"nullif(stddev_samp(CAST({c} AS DOUBLE)) OVER (), 0), 0) AS {c}" for c in _numbers)
+_hot = ", ".join(
+    f"CASE WHEN {column} = '{value}' THEN 1.0e0 ELSE 0.0e0 END AS "
+    f"{column}_{value.lower().replace(' ', '_').replace('-', '_').replace('+', '_up')}"
+    for column, values in (
+        ("loyalty_tier", ["Gold", "Platinum", "Silver", "Standard"]),
+        ("age_band", ["21-30", "31-40", "41-50", "51-64", "65+"]),
+        ("home_region", ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]))
+    for value in values)
+BODY["ml1_preprocessing"] = f"SELECT player_id, {_scaled}, {_hot} FROM churn_feature"
+
 # ---- failure -----------------------------------------------------------------------------------
 _p = ratio("least((high_severity_event_count + critical_event_count*2)*2, total_historical_events + 1)",
            "total_historical_events + 1")
@@ -147,9 +164,9 @@ FROM maintenance GROUP BY 1"""
 
 # ---- anomalies ---------------------------------------------------------------------------------
 add("anomaly_scored", """
-SELECT *, CASE WHEN anomaly_score >= 0.93e0 THEN 1 ELSE 0 END AS isolation_forest_anomaly_flag FROM (
+SELECT *, CASE WHEN anomaly_score >= 9.3e0 THEN 1 ELSE 0 END AS isolation_forest_anomaly_flag FROM (
   SELECT *, CAST(coalesce(abs(revenue_z_score), 0) + coalesce(abs(wager_z_score), 0)
-    + coalesce(abs(downtime_z_score), 0) AS DOUBLE) / 10.0e0 AS anomaly_score FROM anomaly_feature) AS s""")
+    + coalesce(abs(downtime_z_score), 0) AS DOUBLE) AS anomaly_score FROM anomaly_feature) AS s""")
 BODY["ml13_rule_agreement"] = f"""
 SELECT *, {_metrics} FROM (SELECT {_counts.format(y='rule_based_anomaly_flag', p='(isolation_forest_anomaly_flag = 1)')}
   FROM anomaly_scored) AS c"""
