@@ -46,6 +46,11 @@ def _measure(scored: DataFrame, label: str, probability: str) -> dict[str, float
     return row.asDict()
 
 
+def _accuracy(scored: DataFrame, label: str, probability: str) -> float:
+    right = (F.col(probability) >= 0.5).cast("int") == F.col(label)
+    return scored.agg(F.avg(right.cast("double"))).first()[0]
+
+
 def _holdout(train: DataFrame, test: DataFrame, columns, estimator, label: str) -> dict[str, float]:
     model = pipelines.fit(train, *columns, estimator)
     return _measure(pipelines.probability(model, test, "_p"), label, "_p")
@@ -94,9 +99,9 @@ def cross_validate(rows: DataFrame, columns, build: Callable[[int], object], spe
     for fold in range(k):
         train, held = folded.where(F.col("fold") != fold), folded.where(F.col("fold") == fold)
         model = pipelines.fit(train, *columns, build(train.count()))
-        seen = _measure(pipelines.probability(model, train, "_p"), spec.target, "_p")
+        seen = _accuracy(pipelines.probability(model, train, "_p"), spec.target, "_p")
         reached = _measure(pipelines.probability(model, held, "_p"), spec.target, "_p")
-        records.append((fold + 1, float(seen["accuracy"]), *[float(reached[m]) for m in _METRICS]))
+        records.append((fold + 1, seen, *[float(reached[m]) for m in _METRICS]))
     fields = ", ".join(f"{m} double" for m in evaluation.FOLD_METRICS)
     return rows.sparkSession.createDataFrame(records, f"fold int, {fields}")
 
@@ -133,6 +138,13 @@ def train_failure(df: DataFrame, forest: pipelines.Forest = pipelines.FAILURE_FO
     return Trained(best, model, metrics, scored, folds[best])
 
 
+def fit_failure(df: DataFrame, forest: pipelines.Forest = pipelines.FAILURE_FOREST) -> tuple[PipelineModel, DataFrame]:
+    """The failure forest on all rows, with the rows it was fitted on."""
+    columns = (datasets.FAILURE_NUMERIC, datasets.FAILURE_CATEGORICAL)
+    rows = _training_frame(df, datasets.FAILURE, columns)
+    return pipelines.fit(rows, *columns, pipelines.forest_classifier(datasets.FAILURE.target, forest)), rows
+
+
 def train_forecast(
     df: DataFrame, spec: datasets.Dataset, numbers: list[str], categories: list[str], baseline: str, baseline_name: str,
     forest: pipelines.Forest, boosting: pipelines.Boosting,

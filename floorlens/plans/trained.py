@@ -56,8 +56,7 @@ def failure_models(floor: Floor) -> DataFrame:
 
 
 def failure_importance(floor: Floor) -> DataFrame:
-    trained = training.train_failure(features.machine_failure(floor), _fewer(pipelines.FAILURE_FOREST))
-    return pipelines.importance(trained.model, trained.scored)
+    return pipelines.importance(*training.fit_failure(features.machine_failure(floor), _fewer(pipelines.FAILURE_FOREST)))
 
 
 def isolation_forest(floor: Floor) -> DataFrame:

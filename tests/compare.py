@@ -56,7 +56,7 @@ def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
     prefixes = tuple(sys.argv[2:])
     sf_dir = f"/root/testdata/sf{sf}"
-    spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+    spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
                                                 "spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")
     connection, sqls, bad = connect(sf_dir), entry.oracle_sql(), 0

@@ -11,6 +11,7 @@ def spark():
         **{
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
             "spark.sql.adaptive.coalescePartitions.enabled": "true",
         },
