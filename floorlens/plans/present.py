@@ -21,6 +21,7 @@ def present(df: DataFrame) -> DataFrame:
         elif isinstance(kind, T.DateType):
             column = column.cast("string")
         elif isinstance(kind, (T.TimestampNTZType, T.TimestampType)):
-            column = F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+            text = column.cast("string")
+            column = F.rpad(F.when(text.contains("."), text).otherwise(F.concat(text, F.lit("."))), 26, "0")
         columns.append(column.alias(field.name))
     return df.select(*columns)

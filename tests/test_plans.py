@@ -18,7 +18,7 @@ def _plan(df) -> str:
 
 def _single_task_windows(plan: str) -> list[str]:
     """Window nodes without a partition: their argument list ends with the order alone."""
-    return [line for line in plan.splitlines() if re.search(r"\+?- ?Window \[", line) and line.count("[") < 3]
+    return [line for line in plan.splitlines() if re.search(r"^[\s:+-]*Window \[", line) and line.count("[") < 3]
 
 
 @pytest.mark.parametrize("query", [
