@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from floorlens.session import pin
 
@@ -39,6 +40,14 @@ class Ranking:
     descending: bool = False
 
 
+@dataclass(frozen=True)
+class Split:
+    """First position of a range: its key as stored, and its place in the sort order."""
+
+    key: object
+    place: tuple
+
+
 @dataclass
 class _Borders:
     """What the ranges of one ordering hold, enough to shift local ranks."""
@@ -59,77 +68,66 @@ def with_global_ranks(
     cuts = min(math.ceil(total / rows_per_range), MAX_RANGES)
     splits = _sample_splits(pinned, rankings, tie_break, total, cuts)
     out = pinned
-    for ranking, positions in zip(rankings, splits):
-        out = _add_ranks(out, pinned, ranking, tie_break, positions, total)
+    for ranking, own in zip(rankings, splits):
+        out = _add_ranks(out, pinned, ranking, tie_break, own, total)
     return out
 
 
-def _sample_splits(df, rankings, tie_break, total, cuts) -> list[list[tuple]]:
+def _place(df: DataFrame, ranking: Ranking, tie_break: list[str]) -> Column:
+    """Sort position as a struct that compares in ranking order, NULL keys lowest."""
+    key = F.col(ranking.key)
+    if not ranking.descending:
+        return F.struct(key.isNotNull().alias("known"), key.alias("key"), *tie_break)
+    if not isinstance(df.schema[ranking.key].dataType, T.NumericType):
+        raise ValueError("descending keys must be numbers")
+    return F.struct(key.isNull().alias("known"), (-key).alias("key"), *tie_break)
+
+
+def _sample_splits(df, rankings, tie_break, total, cuts) -> list[list[Split]]:
     """For each ranking, the sort positions at which a new range starts, in order."""
     if cuts <= 1:
         return [[] for _ in rankings]
-    names = list(dict.fromkeys([r.key for r in rankings] + tie_break))
     fraction = min(1.0, SAMPLES_PER_RANGE * cuts / total)
-    sample = [row.asDict() for row in df.select(*names).sample(fraction, seed=11).collect()]
     splits = []
     for ranking in rankings:
-        present = [r for r in sample if r[ranking.key] is not None]
-        absent = [r for r in sample if r[ranking.key] is None]
-        for part in (present, absent):
-            part.sort(key=lambda r: tuple(r[t] for t in tie_break))
-        present.sort(key=lambda r: r[ranking.key], reverse=ranking.descending)
-        ordered = present + absent if ranking.descending else absent + present
-        picked = [ordered[len(ordered) * i // cuts] for i in range(1, cuts)] if ordered else []
-        positions = [(r[ranking.key], *(r[t] for t in tie_break)) for r in picked]
-        splits.append(list(dict.fromkeys(positions)))
+        place = _place(df, ranking, tie_break).alias("place")
+        sample = df.sample(fraction, seed=11).select(F.col(ranking.key).alias("key"), place).orderBy("place").collect()
+        picked = [sample[len(sample) * i // cuts] for i in range(1, cuts)] if sample else []
+        splits.append(list(dict.fromkeys(Split(r["key"], tuple(r["place"])) for r in picked)))
     return splits
 
 
-def _precedes(df: DataFrame, ranking: Ranking, tie_break: list[str], position: tuple) -> Column:
-    """True where the row sorts strictly before ``position``."""
-    schema = df.schema
-
-    def at(name, value):
-        return F.lit(value).cast(schema[name].dataType)
+def _range_of(df: DataFrame, ranking: Ranking, tie_break: list[str], splits: list[Split]) -> Column:
+    """Number of splits at or before the row: first among every n-th split, then within one stretch."""
+    if not splits:
+        return F.lit(0)
+    place = _place(df, ranking, tie_break)
+    fields = df.select(place.alias("place")).schema["place"].dataType.fields
 
-    tied = F.lit(False)
-    for name, value in reversed(list(zip(tie_break, position[1:]))):
-        border = at(name, value)
-        tied = (F.col(name) < border) | ((F.col(name) == border) & tied)
-    key, value = F.col(ranking.key), position[0]
-    if value is None:
-        return (key.isNotNull() if ranking.descending else F.lit(False)) | (key.isNull() & tied)
-    border = at(ranking.key, value)
-    ahead = key > border if ranking.descending else (key < border) | key.isNull()
-    return F.coalesce(ahead | ((key == border) & tied), F.lit(False))
+    def constant(split: Split) -> Column:
+        return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(split.place, fields)])
 
+    def passed(positions: Column) -> Column:
+        return F.size(F.filter(positions, lambda position: position <= place))
 
-def _range_of(df, ranking, tie_break, positions, low=0, high=None) -> Column:
-    """Number of positions at or before the row, found by halving."""
-    high = len(positions) if high is None else high
-    if low == high:
-        return F.lit(low)
-    middle = (low + high) // 2
-    return F.when(
-        _precedes(df, ranking, tie_break, positions[middle]),
-        _range_of(df, ranking, tie_break, positions, low, middle),
-    ).otherwise(_range_of(df, ranking, tie_break, positions, middle + 1, high))
+    width = math.isqrt(len(splits) - 1) + 1
+    stretches = [F.array(*map(constant, splits[i : i + width])) for i in range(0, len(splits), width)]
+    started = passed(F.array(*map(constant, splits[::width])))
+    within = passed(F.element_at(F.array(*stretches), F.greatest(started, F.lit(1))))
+    return F.when(started == 0, 0).otherwise((started - 1) * width + within)
 
 
-def _measure_borders(pinned, ranking, tie_break, positions) -> _Borders:
+def _measure_borders(pinned, ranking, splits, place) -> _Borders:
     """Rows and distinct keys per range, and the tied runs that cross from one range to the next."""
-    keys = list(dict.fromkeys(p[0] for p in positions))
-    known = [F.lit(k).cast(pinned.schema[ranking.key].dataType) for k in keys if k is not None]
-    at_border = F.col(ranking.key).isin(known) if known else F.lit(False)
-    at_border = F.coalesce(at_border, F.lit(None in keys))
-    border_key = F.when(at_border, F.col(ranking.key))
+    key_type = pinned.schema[ranking.key].dataType.simpleString()
+    keys = pinned.sparkSession.createDataFrame(
+        [(k,) for k in dict.fromkeys(s.key for s in splits)], f"_border_key {key_type}"
+    ).withColumn("_at_border", F.lit(True))
     stats = (
         pinned.select(
-            _range_of(pinned, ranking, tie_break, positions).alias("_range"),
-            F.col(ranking.key).alias("_key"),
-            at_border.alias("_at_border"),
-            border_key.alias("_border_key"),
+            place.alias("_range"), F.col(ranking.key).alias("_key")
         )
+        .join(F.broadcast(keys), F.col("_key").eqNullSafe(F.col("_border_key")), "left")
         .groupBy("_range", "_at_border", "_border_key")
         .agg(
             F.count("*").alias("rows"),
@@ -150,7 +148,7 @@ def _measure_borders(pinned, ranking, tie_break, positions) -> _Borders:
     before = keys_before = 0
     starts: dict[int, tuple[int, int]] = {}
     for index in sorted(rows):
-        opening = positions[index - 1][0] if index else None
+        opening = splits[index - 1].key if index else None
         continues = index > 0 and any(r < index for r in held.get(opening, {}))
         starts[index] = (before, keys_before - continues)
         borders.ranges.append((index, before, keys_before - continues))
@@ -159,7 +157,7 @@ def _measure_borders(pinned, ranking, tie_break, positions) -> _Borders:
     for key, by_range in held.items():
         first = min(by_range)
         offset, dense_offset = starts[first]
-        if first > 0 and positions[first - 1][0] == key:
+        if first > 0 and splits[first - 1].key == key:
             position, dense = offset + 1, dense_offset + 1
         else:
             # The run may close the range or lie inside it; only a run that crosses closes it.
@@ -171,7 +169,7 @@ def _measure_borders(pinned, ranking, tie_break, positions) -> _Borders:
     return borders
 
 
-def _add_ranks(df, pinned, ranking, tie_break, positions, total) -> DataFrame:
+def _add_ranks(df, pinned, ranking, tie_break, splits, total) -> DataFrame:
     key = F.col(ranking.key)
     by_key = key.desc() if ranking.descending else key.asc()
     within = Window.partitionBy("_range")
@@ -179,7 +177,8 @@ def _add_ranks(df, pinned, ranking, tie_break, positions, total) -> DataFrame:
     kinds = set(ranking.outputs.values())
     wants_ties = "average_pct" in kinds
 
-    out = df.withColumn("_range", _range_of(pinned, ranking, tie_break, positions))
+    place = _range_of(pinned, ranking, tie_break, splits)
+    out = df.withColumn("_range", place)
     out = out.withColumn("_row", F.row_number().over(ordered).cast("long"))
     if kinds & {"rank", "percent_rank", "average_pct"}:
         out = out.withColumn("_rank", F.rank().over(within.orderBy(by_key)).cast("long"))
@@ -188,8 +187,8 @@ def _add_ranks(df, pinned, ranking, tie_break, positions, total) -> DataFrame:
     if wants_ties:
         out = out.withColumn("_ties", F.count("*").over(Window.partitionBy("_range", ranking.key)))
 
-    if positions:
-        borders = _measure_borders(pinned, ranking, tie_break, positions)
+    if splits:
+        borders = _measure_borders(pinned, ranking, splits, place)
         spark = df.sparkSession
         # Both sides hold at most one row per range border: MAX_RANGES bounds the broadcast.
         offsets = spark.createDataFrame(borders.ranges, "_range int, _before long, _keys_before long")
