@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,20 +24,20 @@ def build_session(app: str = "floorlens", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names; make one only for a local run that names none."""
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors reach, from ``spark.checkpoint.dir``; a local run that names none gets its own."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        if not context.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a folder all executors can reach")
-        shared = tempfile.mkdtemp(prefix="floorlens-")
-    context.setCheckpointDir(shared)
+        shared = "file://" + tempfile.mkdtemp(prefix="floorlens-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return shared
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder, so that every later pass reads the same rows."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once as Parquet to the shared folder, so that every later pass reads the same rows
+    and only the columns it needs."""
+    path = f"{shared_folder(df.sparkSession)}/pin-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
