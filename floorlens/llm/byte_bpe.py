@@ -10,7 +10,7 @@ one with a heap, in the same order of merges and so to the same ids.
 
 Defined cases: a null text counts as empty; an empty text has no ids and decodes to no bytes. Rows are
 coded one by one, so repeated rows, null ids and further columns make no difference. Memory follows
-the longest text: 8 MB of text are coded at a time.
+the longest text: 4 MB of text are coded at a time.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ from floorlens.llm.words import Memo, coded, gather, strings, text_batches
 RANKS = "byte_bpe_multi_50k.tiktoken"
 LONGEST = 256
 CELLS = 1 << 21
-CACHED = 400_000
+CACHED = 200_000
 NONE = np.int32(2**31 - 1)
 #: White space as the split pattern means it, the Unicode property.
 SPACE = r"\t-\r \x85\xa0  -     　"
@@ -98,30 +98,39 @@ class Vocabulary:
                 break
         return np.where((right < 0) | (out == NONE), NONE, out) if keys.size else out
 
-    def merge(self, pieces: list[bytes]) -> list[np.ndarray]:
-        """Ids of each piece."""
-        out: list[np.ndarray] = [np.empty(0, np.int32)] * len(pieces)
-        widths: dict[int, list[int]] = {}
-        for i, piece in enumerate(pieces):
-            whole = self.ranks.get(piece)
-            if whole is not None:
-                out[i] = np.array([whole], np.int32)
-            elif len(piece) > LONGEST:
-                out[i] = self._merge_long(piece)
-            elif piece:
-                widths.setdefault(max(4, 1 << (len(piece) - 1).bit_length()), []).append(i)
-        for width, members in widths.items():
-            for start in range(0, len(members), CELLS // width):
-                part = members[start : start + CELLS // width]
-                for i, ids in zip(part, self._merge_matrix([pieces[i] for i in part], width)):
-                    out[i] = ids
-        return out
-
-    def _merge_matrix(self, pieces: list[bytes], width: int) -> list[np.ndarray]:
-        lengths = np.array([len(p) for p in pieces])
-        ids = np.full((len(pieces), width), -1, np.int32)
-        ids[np.arange(width) < lengths[:, None]] = self.byte_ids[np.frombuffer(b"".join(pieces), np.uint8)]
-        done, rows = ids.copy(), np.arange(len(pieces))
+    def merge(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes of the pieces in ids, and the ids of all of them in a row."""
+        whole = np.fromiter((self.ranks.get(p, -1) for p in pieces), np.int64, len(pieces))
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        starts = np.cumsum(lengths) - lengths
+        codes = self.byte_ids[np.frombuffer(b"".join(pieces), np.uint8)]
+        sizes = (whole >= 0).astype(np.int64)
+        found = [(np.flatnonzero(whole >= 0), whole[whole >= 0].astype(np.int32))]
+        for i in np.flatnonzero((whole < 0) & (lengths > LONGEST)).tolist():
+            ids = self._merge_long(pieces[i])
+            sizes[i] = len(ids)
+            found.append((np.array([i]), ids))
+        low = 0
+        for width in (4, 8, 16, 32, 64, 128, LONGEST):
+            members = np.flatnonzero((whole < 0) & (lengths > low) & (lengths <= width))
+            low = width
+            for at in range(0, len(members), CELLS // width):
+                part = members[at : at + CELLS // width]
+                grid = np.full((len(part), width), -1, np.int32)
+                grid[np.arange(width) < lengths[part, None]] = codes[gather(starts[part], lengths[part])]
+                done = self._merge_matrix(grid)
+                sizes[part] = (done >= 0).sum(axis=1)
+                found.append((part, done[done >= 0]))
+        out = np.empty(int(sizes.sum()), np.int32)
+        places = np.cumsum(sizes) - sizes
+        for members, ids in found:
+            out[gather(places[members], sizes[members])] = ids
+        return sizes, out
+
+    def _merge_matrix(self, ids: np.ndarray) -> np.ndarray:
+        """Merged rows, padded with -1."""
+        width = ids.shape[1]
+        done, rows = ids.copy(), np.arange(len(ids))
         ranks = self.pair_ranks(ids[:, :-1], ids[:, 1:])
         columns = np.arange(width)
         while True:
@@ -132,7 +141,7 @@ class Vocabulary:
                 done[rows[~going]] = ids[~going]
                 rows, ids, ranks, at, best = rows[going], ids[going], ranks[going], at[going], best[going]
             if not len(rows):
-                break
+                return done
             own = np.arange(len(rows))
             ids[own, at] = best
             source = np.minimum(columns + (columns > at[:, None]), width - 1)
@@ -140,15 +149,11 @@ class Vocabulary:
             ids[:, -1] = -1
             ranks = np.take_along_axis(ranks, source[:, :-1].clip(max=width - 2), 1)
             ranks[:, -1] = NONE
-            right = np.minimum(at + 1, width - 1)
             last = np.minimum(at, width - 2)
-            ranks[own, last] = np.where(at + 1 < width, self.pair_ranks(ids[own, at], ids[own, right]), NONE)
-            before = np.maximum(at - 1, 0)
+            ranks[own, last] = np.where(at + 1 < width, self.pair_ranks(ids[own, at], ids[own, np.minimum(at + 1, width - 1)]), NONE)
             inner = at > 0
-            ranks[own[inner], before[inner]] = self.pair_ranks(ids[own[inner], before[inner]], ids[own[inner], at[inner]])
-        sizes = (done >= 0).sum(axis=1)
-        flat, ends = done[done >= 0], np.cumsum(sizes).tolist()
-        return [flat[a:b] for a, b in zip([0, *ends], ends)]
+            before = at[inner] - 1
+            ranks[own[inner], before] = self.pair_ranks(ids[own[inner], before], ids[own[inner], at[inner]])
 
     def _merge_long(self, piece: bytes) -> np.ndarray:
         """The same merges by a heap over a linked list."""
@@ -177,14 +182,21 @@ class Vocabulary:
             offer(i)
         return np.array([ids[i] for i in range(len(ids)) if texts[i] is not None], np.int32)
 
+    def _parts(self, piece: str) -> list[str]:
+        """Matches of the pattern; a blank and letters are one, with or without a stop or comma after them."""
+        if piece[:1] == " ":
+            if piece[1:].isalpha():
+                return [piece]
+            if piece[-1] in ".,!" and piece[1:-1].isalpha():
+                return [piece[:-1], piece[-1]]
+        return self.split.findall(piece)
+
     def _learn(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of new pieces; each is cut by the pattern first, its parts are merged together."""
-        parts = [self.split.findall(piece) for piece in pieces]
+        parts = list(map(self._parts, pieces))
         distinct = list(dict.fromkeys(chain.from_iterable(parts)))
         place = {p: i for i, p in enumerate(distinct)}
-        merged = self.merge([p.encode() for p in distinct])
-        sizes = np.array([len(m) for m in merged], np.int64)
-        table = np.concatenate(merged) if merged else np.empty(0, np.int32)
+        sizes, table = self.merge([p.encode() for p in distinct])
         used = np.fromiter(map(place.__getitem__, chain.from_iterable(parts)), np.int64)
         counts = np.array([len(own) for own in parts], np.int64)
         ends = np.concatenate([[0], np.cumsum(sizes[used])])

@@ -34,7 +34,7 @@ PART = 512
 BLOCK = 1024
 END_ID = 1
 BORDER = "<|endoftext|>"
-CACHED = 500_000
+CACHED = 200_000
 
 
 class WordIds:
@@ -149,7 +149,7 @@ def packed(
                     for start in range(0, whole - capacity + 1, capacity):
                         out.append((name, start, capacity, ids[low + start : low + start + capacity].tobytes(), whole, next(serial), 0))
                     for start in range(whole - whole % capacity, whole, part):
-                        waiting.append((name, start, ids[low + start : min(low + start + part, high)], whole))
+                        waiting.append((name, start, ids[low + start : min(low + start + part, high)].copy(), whole))
                 while len(waiting) >= block:
                     out.extend(_windows(waiting[:block], capacity, serial))
                     del waiting[:block]

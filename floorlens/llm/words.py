@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-STRETCH_BYTES = 8 << 20
+STRETCH_BYTES = 4 << 20
 
 
 def stretches(sizes: np.ndarray, limit: int = STRETCH_BYTES) -> Iterator[tuple[int, int]]:
@@ -78,7 +78,7 @@ class Memo:
     and made again as they are met, so memory is bounded and results stay the same.
     """
 
-    def __init__(self, make: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = 400_000):
+    def __init__(self, make: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = 200_000):
         self.make, self.limit = make, limit
         self._clear()
 
