@@ -28,11 +28,12 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from floorlens.llm.words import Memo, coded, gather, strings, text_batches
+from floorlens.llm.words import Memo, coded, gather, stretches, strings, text_batches
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 LONGEST = 256
-CELLS = 1 << 21
+CELLS = 1 << 20
+IDS = 1 << 19
 CACHED = 200_000
 NONE = np.int32(2**31 - 1)
 #: White space as the split pattern means it, the Unicode property.
@@ -49,10 +50,6 @@ class Vocabulary:
         by_id = sorted((rank, token) for token, rank in self.ranks.items())
         if [rank for rank, _ in by_id] != list(range(len(by_id))):
             raise ValueError("ranks must be 0, 1, 2, ...")
-        tokens = [token for _, token in by_id]
-        self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
-        self.lengths = np.array([len(t) for t in tokens])
-        self.starts = np.cumsum(self.lengths) - self.lengths
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         pairs = [
             (self.ranks[t[:i]], self.ranks[t[i:]], rank)
@@ -225,6 +222,17 @@ class Vocabulary:
         ends, ids = self.memo.runs(self.memo.places(pieces + rest)[codes])
         return np.concatenate([[0], ends])[offsets], ids.astype(np.int32)
 
+
+class Tokens:
+    """Bytes of the tokens of a vocabulary by id."""
+
+    def __init__(self, path: str):
+        with open(path, "rb") as lines:
+            tokens = [token for _, token in sorted((int(b), base64.b64decode(a)) for a, b in map(bytes.split, lines))]
+        self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
+        self.lengths = np.array([len(t) for t in tokens])
+        self.starts = np.cumsum(self.lengths) - self.lengths
+
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Offsets per row and the bytes of all rows."""
         lengths = self.lengths[ids]
@@ -261,16 +269,17 @@ def decode(rows: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
     """Key, ``ids`` and ``decoded``, the bytes the ids stand for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = vocabulary(path)
-        for batch in batches:
-            lists = batch.column(1)
-            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-            offsets = np.concatenate([[0], np.cumsum(sizes)])
-            ends, data = table.decode(lists.flatten().to_numpy(), offsets)
-            decoded = pa.Array.from_buffers(
-                pa.large_binary(), len(lists), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)]
-            )
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists, decoded.cast(pa.binary())], [key, "ids", "decoded"])
+        table = Tokens(path)
+        for whole in batches:
+            sizes = pc.fill_null(pc.list_value_length(whole.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            for start, stop in stretches(sizes, IDS):
+                batch = whole.slice(start, stop - start)
+                offsets = np.concatenate([[0], np.cumsum(sizes[start:stop])])
+                ends, data = table.decode(batch.column(1).flatten().to_numpy(), offsets)
+                decoded = pa.Array.from_buffers(
+                    pa.large_binary(), len(batch), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)]
+                )
+                yield pa.RecordBatch.from_arrays([*batch.columns, decoded.cast(pa.binary())], [key, "ids", "decoded"])
 
     rows = rows.select(key, "ids")
     kind = rows.schema[key].dataType.simpleString()
