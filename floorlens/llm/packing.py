@@ -34,7 +34,8 @@ PART = 512
 BLOCK = 1024
 END_ID = 1
 BORDER = "<|endoftext|>"
-CACHED = 200_000
+CACHED = 400_000
+STRETCH_BYTES = 8 << 20
 
 
 class WordIds:
@@ -54,7 +55,11 @@ class WordIds:
         own = [i for i, w in enumerate(words) if "<|" in w]
         rest = [w for w in words if "<|" not in w] if own else words
         lines = [BORDER.join(["", *rest[i : i + 64]]) for i in range(0, len(rest), 64)]
-        ids = [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)]
+        # A few lines at a time: an encoding is many times as large as its ids.
+        ids = [
+            np.array(e.ids, np.int32) for i in range(0, len(lines), 128)
+            for e in self.tokenizer.encode_batch_fast(lines[i : i + 128], add_special_tokens=False)
+        ]
         flat = np.concatenate([np.empty(0, np.int32), *ids])
         starts = np.flatnonzero(flat == self.border)
         sizes = np.diff(np.append(starts, len(flat))) - 1
@@ -141,7 +146,7 @@ def packed(
 
         for batch in batches:
             types = [batch.schema.field(0).type, *[pa.int64()] * 2, pa.binary(), *[pa.int64()] * 3]
-            for stretch in text_batches(batch, "body"):
+            for stretch in text_batches(batch, "body", STRETCH_BYTES):
                 offsets, ids = words.encode(stretch.column("body"), end)
                 ids, out = ids.astype("<u4"), []
                 for name, low, high in zip(stretch.column(0).to_pylist(), offsets.tolist(), offsets[1:].tolist()):
