@@ -7,7 +7,7 @@ sort order instead; each range is ranked on its own and shifted by what the rang
 * Range borders are complete sort positions (key and tie-break), so even a key held by a third of
   all rows is spread over several ranges. Borders come from a bounded sample; a poor sample costs
   balance, never correctness.
-* Only border statistics reach the driver: at most three rows per range, at most ``MAX_RANGES``.
+* Only border statistics reach the driver: at most three rows per range of ``ROWS_PER_RANGE`` rows.
 * Up to ``ROWS_PER_RANGE`` rows (checked by a count) there is just one range and no border.
 """
 
@@ -23,7 +23,6 @@ from pyspark.sql import types as T
 from floorlens.session import pin
 
 ROWS_PER_RANGE = 250_000
-MAX_RANGES = 1_024
 SAMPLES_PER_RANGE = 30
 
 
@@ -65,7 +64,7 @@ def with_global_ranks(
     rows_per_range = rows_per_range or ROWS_PER_RANGE
     pinned = pin(df)
     total = pinned.count()
-    cuts = min(math.ceil(total / rows_per_range), MAX_RANGES)
+    cuts = math.ceil(total / rows_per_range)
     splits = _sample_splits(pinned, rankings, tie_break, total, cuts)
     out = pinned
     for ranking, own in zip(rankings, splits):
@@ -190,7 +189,7 @@ def _add_ranks(df, pinned, ranking, tie_break, splits, total) -> DataFrame:
     if splits:
         borders = _measure_borders(pinned, ranking, splits, place)
         spark = df.sparkSession
-        # Both sides hold at most one row per range border: MAX_RANGES bounds the broadcast.
+        # Both sides hold at most one row per range border: small, as a range holds many rows.
         offsets = spark.createDataFrame(borders.ranges, "_range int, _before long, _keys_before long")
         out = out.join(F.broadcast(offsets), "_range")
         out = out.withColumn("_row", F.col("_row") + F.col("_before"))

@@ -231,7 +231,7 @@ def tickets(floor: Floor) -> DataFrame:
     target = F.lit(SLA_OTHER)
     for severity, minutes in SLA_MINUTES.items():
         target = F.when(F.col("severity") == severity, minutes).otherwise(target)
-    return floor.event.crossJoin(F.broadcast(last)).select(
+    return floor.event.where("requires_investigation = 1").crossJoin(F.broadcast(last)).select(
         "event_id", "machine_id", "location_id", "severity",
         (minute_index("_now") - minute_index("event_timestamp")).alias("age_minutes"),
         target.alias("sla_target_minutes"),
@@ -291,7 +291,7 @@ LOOKUPS: dict[str, Callable[[Floor], DataFrame]] = {
     "a9_failure_risk": lambda floor: lookups.failure_risk(
         failure_output(floor), manufacturer="maker 1", minimum_probability=0.30, page_size=10
     ),
-    "a10_anomalies": lambda floor: lookups.anomalies(anomaly_output(floor), risk_level="critical", page=2, page_size=50),
+    "a10_anomalies": lambda floor: lookups.anomalies(anomaly_output(floor), risk_level="critical", page=1, page_size=50),
     "a11_maintenance_ranking": lambda floor: lookups.maintenance_ranking(maintenance(floor), page=2),
     "a12_anomaly_ranking": lambda floor: lookups.anomaly_ranking(anomaly_summary(floor), page=1),
     "a13_machine_detail": lambda floor: lookups.machine_detail(
@@ -305,7 +305,7 @@ LOOKUPS: dict[str, Callable[[Floor], DataFrame]] = {
         daily_output(floor), weekly_output(floor), daily_metrics(floor), weekly_metrics(floor)
     ),
     "a16_daily_list": lambda floor: lookups.forecast_list(
-        daily_output(floor), "activity_date", region="region_1", forecast_status="review", start_date="2000-06-01",
+        daily_output(floor), "activity_date", region="europe", forecast_status="review", start_date="2000-06-01",
         end_date="2001-05-31", page=2,
     ),
     "a17_weekly_list": lambda floor: lookups.forecast_list(weekly_output(floor), "week_start_date", location_id="l3"),

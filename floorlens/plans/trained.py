@@ -1,14 +1,8 @@
-"""Registered training runs.
-
-The defaults of the training functions are the published model sizes. These runs use fewer trees,
-rounds and starts, so that the whole registry finishes in minutes; depth, leaf size, splits and the
-choice between models are the published ones, over the whole tables.
-"""
+"""Registered training runs, at the published model sizes and over the whole tables."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
@@ -20,15 +14,6 @@ from floorlens.operators import features
 from floorlens.operators.reports.player import active_players
 from floorlens.sources.bind import Floor
 
-TREES = 20
-ROUNDS = 20
-
-
-def _fewer(size):
-    if isinstance(size, pipelines.Forest):
-        return replace(size, trees=TREES)
-    return replace(size, rounds=ROUNDS, step=size.step * size.rounds / ROUNDS)
-
 
 def preprocessed(floor: Floor) -> DataFrame:
     """Churn features after imputing and scaling, one column per number, categories one-hot."""
@@ -44,45 +29,45 @@ def preprocessed(floor: Floor) -> DataFrame:
 
 
 def churn_models(floor: Floor) -> DataFrame:
-    return training.train_churn(features.player_churn(floor), _fewer(pipelines.CHURN_FOREST)).metrics
+    return training.train_churn(features.player_churn(floor), pipelines.CHURN_FOREST).metrics
 
 
 def churn_scores(floor: Floor) -> DataFrame:
-    return scoring.churn_scores(training.train_churn(features.player_churn(floor), _fewer(pipelines.CHURN_FOREST)).scored)
+    return scoring.churn_scores(training.train_churn(features.player_churn(floor), pipelines.CHURN_FOREST).scored)
 
 
 def failure_models(floor: Floor) -> DataFrame:
-    return training.train_failure(features.machine_failure(floor), _fewer(pipelines.FAILURE_FOREST)).metrics
+    return training.train_failure(features.machine_failure(floor), pipelines.FAILURE_FOREST).metrics
 
 
 def failure_importance(floor: Floor) -> DataFrame:
-    return pipelines.importance(*training.fit_failure(features.machine_failure(floor), _fewer(pipelines.FAILURE_FOREST)))
+    return pipelines.importance(*training.fit_failure(features.machine_failure(floor), pipelines.FAILURE_FOREST))
 
 
 def isolation_forest(floor: Floor) -> DataFrame:
-    return scoring.anomaly_output(isolation.detect(features.machine_anomaly(floor), trees=100))
+    return scoring.anomaly_output(isolation.detect(features.machine_anomaly(floor)))
 
 
 def cluster_evaluation(floor: Floor) -> DataFrame:
-    return clustering.evaluate(clustering.scaled(active_players(floor)), starts=1)
+    return clustering.evaluate(clustering.scaled(active_players(floor)))
 
 
 def player_clusters(floor: Floor) -> DataFrame:
     rows = clustering.scaled(active_players(floor))
-    assigned = clustering.assign(rows, clustering.choose(clustering.evaluate(rows, starts=1)), starts=2)
+    assigned = clustering.assign(rows, clustering.choose(clustering.evaluate(rows)))
     names = segments.segment_names(segments.cluster_scores(segments.cluster_profiles(assigned)))
     return segments.player_output(assigned, names)
 
 
 def daily_models(floor: Floor) -> DataFrame:
     return training.train_daily(
-        features.daily_forecast(floor), _fewer(pipelines.DAILY_FOREST), _fewer(pipelines.DAILY_BOOSTING)
+        features.daily_forecast(floor), pipelines.DAILY_FOREST, pipelines.DAILY_BOOSTING
     ).metrics
 
 
 def weekly_models(floor: Floor) -> DataFrame:
     return training.train_weekly(
-        features.weekly_forecast(floor), _fewer(pipelines.WEEKLY_FOREST), _fewer(pipelines.WEEKLY_BOOSTING)
+        features.weekly_forecast(floor), pipelines.WEEKLY_FOREST, pipelines.WEEKLY_BOOSTING
     ).metrics
 
 

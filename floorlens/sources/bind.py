@@ -34,12 +34,6 @@ def _id(prefix: str, key: Column) -> Column:
     return F.concat(F.lit(prefix), key.cast("string"))
 
 
-def _spread(df: DataFrame, key: str) -> DataFrame:
-    """Cut a scan that yields fewer tasks than there are cores; large inputs are left as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def bind(spark: SparkSession, sf_dir: str) -> Floor:
     """Derive the canonical tables from the order-processing star schema in ``sf_dir``."""
 
@@ -102,7 +96,7 @@ def bind(spark: SparkSession, sf_dir: str) -> Floor:
     )
     start = F.col("o_orderdate") + F.make_dt_interval(mins=(F.col("o_orderkey") % 1440).cast("int"))
     play = (
-        _spread(read("lineitem"), "l_orderkey")
+        read("lineitem")
         .join(read("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .withColumn("wager_amount", wager)
@@ -155,7 +149,7 @@ def bind(spark: SparkSession, sf_dir: str) -> Floor:
     machines = supplier.agg(F.count("*").alias("machines"))
     shift = (F.col("event_id") % 80 * 30 + 8217).cast("int")
     logged = (
-        _spread(read("events"), "event_id")
+        read("events")
         .crossJoin(F.broadcast(machines))
         .withColumn("asset", F.col("user_id") % F.col("machines"))
         .join(supplier, F.col("asset") == F.col("s_suppkey"))

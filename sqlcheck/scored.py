@@ -409,7 +409,7 @@ SELECT * FROM failure_output WHERE manufacturer = 'Maker 1' AND failure_probabil
 ORDER BY failure_probability DESC, revenue_at_risk DESC, total_downtime_minutes DESC, machine_id LIMIT 10"""
 BODY["a10_anomalies"] = """
 SELECT * FROM anomaly_out WHERE isolation_forest_anomaly_flag = 1 AND anomaly_risk_level = 'Critical'
-ORDER BY anomaly_score DESC, revenue_exposure DESC, activity_date, machine_id LIMIT 50 OFFSET 50"""
+ORDER BY anomaly_score DESC, revenue_exposure DESC, activity_date, machine_id LIMIT 50"""
 BODY["a11_maintenance_ranking"] = """
 SELECT * FROM maintenance ORDER BY maintenance_priority_rank, failure_probability DESC, machine_id LIMIT 20 OFFSET 20"""
 BODY["a12_anomaly_ranking"] = """
@@ -445,7 +445,7 @@ SELECT a.*, m.* FROM ({_accuracy(source, predicted, head=f"'{horizon}' AS horizo
         ("daily", "daily_out", "predicted_revenue", "daily_metric"),
         ("weekly", "weekly_out", "selected_predicted_revenue", "weekly_metric")))
 BODY["a16_daily_list"] = """
-SELECT * FROM daily_out WHERE lower(region) = 'region_1' AND forecast_status = 'Review'
+SELECT * FROM daily_out WHERE lower(region) = 'europe' AND forecast_status = 'Review'
   AND activity_date BETWEEN DATE '2000-06-01' AND DATE '2001-05-31'
 ORDER BY activity_date DESC, location_id LIMIT 50 OFFSET 50"""
 BODY["a17_weekly_list"] = """
@@ -473,7 +473,7 @@ FROM (
     date_diff('minute', moment, (SELECT max(moment) FROM f_event)) AS age_minutes,
     CASE severity WHEN 'Critical' THEN 20000 WHEN 'High' THEN 40000 WHEN 'Medium' THEN 80000 ELSE 160000 END
       AS sla_target_minutes
-  FROM f_event) AS t"""
+  FROM f_event WHERE investigate = 1) AS t"""
 BODY["a22_probability_band"] = """
 SELECT * FROM churn_output WHERE churn_probability >= 0.40e0 AND churn_probability < 0.70e0"""
 BODY["a23_by_severity"] = "SELECT * FROM failure_output"

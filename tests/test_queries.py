@@ -26,5 +26,10 @@ def test_entry_runs(spark):
 def test_every_query_without_sql_is_a_trained_model():
     from floorlens.plans.trained import TRAINED
 
-    assert set(entry.queries()) - set(SQL) <= set(TRAINED)
+    assert set(entry.queries()) - set(SQL) - set(entry.OPTIONAL) <= set(TRAINED)
     assert set(SQL) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_no_comparison_is_empty(name):
+    assert connect("/root/testdata/sf0.01").execute(SQL[name]).fetchone() is not None
