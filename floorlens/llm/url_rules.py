@@ -76,11 +76,12 @@ def mined(
         .select(F.when(F.col("bad") == 1, F.array_append("tokens", F.lit(BAD))).otherwise(F.col("tokens")).alias("items"))
     )
     baskets = pin(baskets)
+    support = max(min_support, MIN_PAGES / max(baskets.count(), 1))
     model = FPGrowth(
-        itemsCol="items", minSupport=max(min_support, MIN_PAGES / max(baskets.count(), 1)), minConfidence=min_confidence,
+        itemsCol="items", minSupport=min(support, 1.0), minConfidence=min_confidence,
         numPartitions=max(1, baskets.rdd.getNumPartitions()),
     ).fit(baskets)
-    found = model.associationRules.where(F.element_at("consequent", 1) == BAD).select(
+    found = model.associationRules.where((F.element_at("consequent", 1) == BAD) & (F.lit(support) <= 1)).select(
         F.sort_array("antecedent").alias("rule"), "confidence", "support"
     )
     found = pin(found)
