@@ -2,7 +2,7 @@
 
 Each stage works on all rows its predecessor kept. The first three drop rows and keep the columns; the last
 one gives the packed sequences, one row per piece. Packing and language ID have no SQL form, so
-``ORACLE_SQL`` is None and ``run`` is tested against a plain version.
+``ORACLE_SQL`` is None; the operators are tested one by one.
 """
 
 from __future__ import annotations
