@@ -2,11 +2,13 @@
 
 Equal vectors of a label are one class. Classes are dealt into overlapping cluster shards of at most about
 ``SHARD`` members: centroids fitted on a bounded sample of a group split it, each vector goes to its ``overlap``
-nearest ones, and shards that are still too large are split again. In every shard a graph of nearest
+nearest ones, and shards that are still too large are split again, with less overlap each time, so that the
+copies of a vector stay bounded. A ball of nearly equal vectors cannot be split by centroids: it is dealt into
+blocks, and each pair of blocks is a shard, as many as its own links need. In every shard a graph of nearest
 neighbours is built and pruned: a neighbour is left out if one kept before it is closer to it by ``ALPHA``.
-Adjacency lists of all shards are united. Then every vector is searched from its shards' medoids by a beam; from
-each vector found within the radius the search goes on to its neighbours until none is new. What is found
-is checked by the cosine in double precision, so no link below the radius is given.
+Adjacency lists of all shards are united. Then every vector walks greedily from its shards' medoids; from its own
+node and each one found within the radius, less ``SLACK``, the search goes on to their neighbours until none is
+new. What is found is checked by the cosine in double precision, so no link below the radius is given.
 
 Recall is audited against brute force: a bounded sample of queries against all classes. Below ``LEAST_RECALL`` the
 overlap is doubled and the graph built again, up to ``MOST_OVERLAP``; the last audit is returned by ``audited``.
@@ -21,7 +23,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,12 +33,16 @@ from floorlens.llm.components import components
 from floorlens.session import pin
 
 RADIUS = 0.93
-SHARD = 768
-SAMPLE = 2048
-CENTROIDS = 32
+SHARD = 1536
+SAMPLE = 4096
+CENTROIDS = 128
+#: A shard whose sample lies this close to its mean is a ball.
+TIGHT = 0.9
 OVERLAP, MOST_OVERLAP = 3, 12
 CANDIDATES, DEGREE, ALPHA = 48, 24, 1.2
-BEAM = 24
+SLACK = 0.03
+STEP = 1024
+PAIRS = 1 << 16
 AUDIT = 200
 LEAST_RECALL = 0.97
 
@@ -62,6 +70,7 @@ def fit_centroids(x: np.ndarray, kinds: int) -> np.ndarray:
 def shards(classes: DataFrame, overlap: int) -> DataFrame:
     """``shard``, ``item`` and ``vector``: each class in at least one shard, in several where they overlap."""
     kind = classes.schema["item"].dataType.simpleString()
+    numbers = classes.schema["vector"].dataType.simpleString()
     open_ = classes.select(F.concat_ws(":", "label", F.size("vector")).alias("shard"), "item", "vector")
     done, rounds = [], 0
     while True:
@@ -76,29 +85,48 @@ def shards(classes: DataFrame, overlap: int) -> DataFrame:
         first = F.row_number().over(Window.partitionBy("shard").orderBy(F.xxhash64("item"), "item"))
         drawn = open_.withColumn("rank", first).where(F.col("rank") <= SAMPLE).join(large, "shard")
 
-        def centres(group: pa.Table) -> pa.Table:
+        share = max(1, overlap >> rounds)
+
+        def centres(group: pa.Table, share: int = share) -> pa.Table:
             n = group.column("n")[0].as_py()
             x = _unit(group.column("vector"))
-            found = fit_centroids(x, min(CENTROIDS, max(2, -(-overlap * n // SHARD)), len(x)))
-            return pa.table({"shard": group.column("shard")[:1], "centres": pa.array([found.ravel()], pa.list_(pa.float64()))})
-
-        table = pin(drawn.select("shard", "n", "vector").groupBy("shard").applyInArrow(centres, "shard string, centres array<double>"))
-
-        def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            mean = x.mean(axis=0)
+            blocks = -(-3 * n // SHARD) if (x @ mean).min() >= TIGHT * max(np.linalg.norm(mean), 1e-300) else 0
+            # More shards than the mean size asks for, as their sizes differ.
+            found = fit_centroids(x, min(CENTROIDS, max(2 * share, -(-8 * share * n // (5 * SHARD))), len(x)))
+            return pa.table({
+                "shard": group.column("shard")[:1], "blocks": pa.array([blocks]),
+                "centres": pa.array([found.ravel()], pa.list_(pa.float64())),
+            })
+
+        table = pin(
+            drawn.select("shard", "n", "vector").groupBy("shard").applyInArrow(centres, "shard string, blocks long, centres array<double>")
+        )
+
+        def deal(batches: Iterator[pa.RecordBatch], share: int = share) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 names = batch.column("shard").to_numpy(zero_copy_only=False)
                 for name in dict.fromkeys(names.tolist()):
                     at = np.flatnonzero(names == name)
                     part = batch.take(pa.array(at))
-                    x = _unit(part.column("vector"))
-                    c = np.array(part.column("centres")[0].as_py()).reshape(-1, x.shape[1])
-                    near = np.argsort(-(x @ c.T), axis=1)[:, : min(overlap, max(1, len(c) // 2))]
-                    rows = np.repeat(np.arange(len(at)), near.shape[1])
+                    blocks = part.column("blocks")[0].as_py()
+                    if blocks:
+                        own = part.column("mark").to_numpy() % blocks
+                        other = (own[:, None] + np.arange(1, blocks)) % blocks
+                        low, high = np.minimum(own[:, None], other), np.maximum(own[:, None], other)
+                        near, width = [f"{i}-{j}" for i, j in zip(low.ravel().tolist(), high.ravel().tolist())], blocks - 1
+                    else:
+                        x = _unit(part.column("vector"))
+                        c = np.array(part.column("centres")[0].as_py()).reshape(-1, x.shape[1])
+                        picks = np.argsort(-(x @ c.T), axis=1)[:, : min(share, max(1, len(c) // 2))]
+                        near, width = picks.ravel().tolist(), picks.shape[1]
+                    rows = pa.array(np.repeat(np.arange(len(at)), width))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([f"{name}/{k}" for k in near.ravel().tolist()]), part.column("item").take(pa.array(rows)),
-                         part.column("vector").take(pa.array(rows))], ["shard", "item", "vector"])
+                        [pa.array([f"{name}/{k}" for k in near]), part.column("item").take(rows), part.column("vector").take(rows)],
+                        ["shard", "item", "vector"])
 
-        open_ = open_.join(table, "shard").mapInArrow(deal, f"shard string, item {kind}, vector array<double>")
+        dealt = open_.join(table, "shard").withColumn("mark", F.xxhash64("item"))
+        open_ = dealt.mapInArrow(deal, f"shard string, item {kind}, vector {numbers}")
         # A vector reaches one shard by several ways only through different parents, whose names differ.
         rounds += 1
     out = done[0]
@@ -108,11 +136,11 @@ def shards(classes: DataFrame, overlap: int) -> DataFrame:
 
 
 def pruned(x: np.ndarray) -> np.ndarray:
-    """Neighbours of each row by robust pruning, -1 where there are fewer."""
+    """The closest row before each row, then its neighbours by robust pruning; -1 where there are none."""
     n = len(x)
     many = min(CANDIDATES, n - 1)
     if many < 1:
-        return np.full((n, 1), -1)
+        return np.full((n, 2), -1)
     sims = x @ x.T
     np.fill_diagonal(sims, -np.inf)
     near = np.argpartition(-sims, many - 1, axis=1)[:, :many]
@@ -127,21 +155,26 @@ def pruned(x: np.ndarray) -> np.ndarray:
         between = 1 - sims[chosen[:, None], near]
         alive &= ALPHA * between > gaps
         alive[rows, pick] = False
-    return out
+    # In a ball of nearly equal vectors few edges are left and most lead to the same rows. An edge to the closest row
+    # before each one, the last of equal ones, makes a tree of all rows.
+    sims[np.triu_indices(n)] = -np.inf
+    before = np.where(rows > 0, n - 1 - sims[:, ::-1].argmax(axis=1), -1)
+    return np.column_stack([before, out])
 
 
 def adjacency(group: pa.Table) -> pa.Table:
-    """``item`` and ``near`` of one shard; edges lead both ways, each list keeps at most 2 * DEGREE."""
+    """``item`` and ``near`` of one shard; tree edges lead both ways, of the others at most DEGREE lead back."""
     x, items = _unit(group.column("vector")), group.column("item").combine_chunks()
     out = pruned(x)
     a = np.repeat(np.arange(len(x)), out.shape[1])
     b = out.ravel()
+    tree = (np.arange(len(b)) % out.shape[1] == 0)[b >= 0]
     a, b = a[b >= 0], b[b >= 0]
     sims = np.einsum("ij,ij->i", x[a], x[b])
     # own edges first, then those that lead here, the closest ones
     order = np.lexsort((-sims, b))
     place = np.arange(len(b)) - np.searchsorted(b[order], b[order])
-    extra = order[place < DEGREE]
+    extra = order[(place < DEGREE) | tree[order]]
     pairs = np.unique(np.concatenate([a * len(x) + b, b[extra] * len(x) + a[extra]]))
     owner, other = pairs // len(x), pairs % len(x)
     bounds = np.searchsorted(owner, np.arange(len(x) + 1))
@@ -156,63 +189,51 @@ def found_links(x: np.ndarray, near: list[np.ndarray], radius: float) -> tuple[n
     table = np.full((n, width), -1)
     for i, a in enumerate(near):
         table[i, : len(a)] = a
+    rough, loose = x.astype(np.float32), radius - SLACK
     medoid = int((x @ x.mean(axis=0)).argmax())
-    queries = np.arange(n)
-    beam = min(BEAM, n)
-    ids, done = np.full((n, beam), -1), np.ones((n, beam), bool)
-    scores = np.full((n, beam), -np.inf)
-    ids[:, 0], scores[:, 0], done[:, 0] = medoid, x @ x[medoid], False
-    seen = np.zeros((n, n), bool)
-    seen[:, medoid] = True
-
-    def step(rows: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Unseen neighbours of one node for each given query, with their similarities (-inf: none)."""
-        new = table[nodes]
-        fresh = (new >= 0) & ~seen[rows[:, None], new]
-        seen[np.repeat(rows, fresh.sum(axis=1)), new[fresh]] = True
-        sims = np.where(fresh, np.einsum("id,ijd->ij", x[rows], x[new]), -np.inf)
-        return new, sims
-
-    start = np.flatnonzero(x @ x[medoid] >= radius - 1e-9)
-    hits = [(start, np.full(len(start), medoid))]
-    while len(queries):
-        best = np.where(done[queries], -np.inf, scores[queries]).argmax(axis=1)
-        going = ~done[queries, best]
-        queries, best = queries[going], best[going]
-        for at in range(0, len(queries), 256):
-            rows, pick = queries[at : at + 256], best[at : at + 256]
-            done[rows, pick] = True
-            new, sims = step(rows, ids[rows, pick])
-            q, k = np.nonzero(sims >= radius - 1e-9)
-            hits.append((rows[q], new[q, k]))
-            all_ids = np.concatenate([ids[rows], new], axis=1)
-            all_scores = np.concatenate([scores[rows], sims], axis=1)
-            all_done = np.concatenate([done[rows], ~np.isfinite(sims)], axis=1)
-            order = np.argsort(-all_scores, axis=1, kind="stable")[:, :beam]
-            ids[rows] = np.take_along_axis(all_ids, order, 1)
-            scores[rows] = np.take_along_axis(all_scores, order, 1)
-            done[rows] = np.take_along_axis(all_done, order, 1)
-    frontier = (np.concatenate([h[0] for h in hits]), np.concatenate([h[1] for h in hits]))
-    pairs = [frontier]
-    while len(frontier[0]):
-        rows, nodes, more = [], [], frontier
-        for at in range(0, len(more[0]), 4096):
-            own, from_ = more[0][at : at + 4096], more[1][at : at + 4096]
-            new = table[from_]
-            a, b = np.repeat(own, width), new.ravel()
-            a, b = a[b >= 0], b[b >= 0]
-            key = np.unique(a * n + b)
-            a, b = key // n, key % n
-            fresh = ~seen[a, b]
-            a, b = a[fresh], b[fresh]
-            seen[a, b] = True
-            close = np.einsum("ij,ij->i", x[a], x[b]) >= radius - 1e-9
-            rows.append(a[close])
-            nodes.append(b[close])
-        frontier = (np.concatenate(rows), np.concatenate(nodes))
-        pairs.append(frontier)
+    seen = np.zeros(n * n, bool)
+    seen[np.arange(n) * n + medoid] = True
+    seen[np.arange(n) * (n + 1)] = True
+
+    def opened(rows: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Unseen neighbours of the nodes for their queries, with their similarities."""
+        queries, others, sims = [], [], []
+        for at in range(0, len(rows), STEP):
+            new = table[nodes[at : at + STEP]]
+            keys = (rows[at : at + STEP, None] * n + new)[new >= 0]
+            keys = np.unique(keys[~seen[keys]])
+            seen[keys] = True
+            a, b = keys // n, keys % n
+            queries.append(a)
+            others.append(b)
+            sims.append(np.einsum("ij,ij->i", rough[a], rough[b]))
+        return np.concatenate(queries), np.concatenate(others), np.concatenate(sims)
+
+    own = np.arange(n)
+    best = rough @ rough[medoid]
+    place, going = np.full(n, medoid), own
+    start = own[(best >= loose) & (own != medoid)]
+    hits = [(own, own), (start, np.full(len(start), medoid))]
+    while len(going):
+        a, b, sims = opened(going, place[going])
+        close = sims >= loose
+        hits.append((a[close], b[close]))
+        order = np.lexsort((sims, a))
+        a, b, sims = a[order], b[order], sims[order]
+        last = np.flatnonzero(np.append(a[1:] != a[:-1], True)) if len(a) else np.empty(0, np.int64)
+        last = last[sims[last] > best[a[last]]]
+        going = a[last]
+        place[going], best[going] = b[last], sims[last]
+    pairs = [(np.concatenate([h[0] for h in hits]), np.concatenate([h[1] for h in hits]))]
+    while len(pairs[-1][0]):
+        a, b, sims = opened(*pairs[-1])
+        close = sims >= loose
+        pairs.append((a[close], b[close]))
     a, b = np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
-    sure = (a != b) & (np.einsum("ij,ij->i", x[a], x[b]) >= radius)
+    sure = a != b
+    for at in range(0, len(a), PAIRS):
+        part = slice(at, at + PAIRS)
+        sure[part] &= np.einsum("ij,ij->i", x[a[part]], x[b[part]]) >= radius
     return a[sure], b[sure]
 
 
@@ -225,13 +246,15 @@ def search(members: DataFrame, radius: float) -> DataFrame:
     united = pin(pin(lists).groupBy("item").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")))
 
     def run(group: pa.Table) -> pa.Table:
-        x, items = _unit(group.column("vector")), group.column("item").to_pylist()
-        place = {item: i for i, item in enumerate(items)}
-        near = [np.array([place[b] for b in own or [] if b in place], np.int64) for own in group.column("near").to_pylist()]
+        x, items = _unit(group.column("vector")), group.column("item").combine_chunks()
+        lists = group.column("near").combine_chunks()
+        places = pd.Index(items.to_pandas()).get_indexer(lists.flatten().to_pandas())
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+        near = [own[own >= 0] for own in np.split(places, ends[:-1])]
         a, b = found_links(x, near, radius)
-        pairs = {(min(items[i], items[j]), max(items[i], items[j])) for i, j in zip(a.tolist(), b.tolist())}
-        kind = group.schema.field("item").type
-        return pa.table({"a": pa.array([p[0] for p in pairs], kind), "b": pa.array([p[1] for p in pairs], kind)})
+        keys = np.unique(np.minimum(a, b) * len(x) + np.maximum(a, b))
+        one, two = items.take(pa.array(keys // len(x))), items.take(pa.array(keys % len(x)))
+        return pa.table({"a": pc.min_element_wise(one, two), "b": pc.max_element_wise(one, two)})
 
     rows = members.join(united, "item", "left").select("shard", "item", "vector", "near")
     return pin(rows.groupBy("shard").applyInArrow(run, f"a {kind}, b {kind}").distinct())
@@ -283,8 +306,11 @@ def audited(classes: DataFrame, radius: float = RADIUS) -> tuple[DataFrame, floa
 def marked(vectors: DataFrame, key: str, vector: str, label: str) -> DataFrame:
     """``item``, ``label``, ``vector`` and ``mark``, the vector's bytes; the mark of a vector that cannot be compared is null."""
     rows = vectors.select(
-        F.col(key).alias("item"), F.col(label).cast("string").alias("label"), F.col(vector).cast("array<double>").alias("vector")
+        F.col(key).alias("item"), F.col(label).cast("string").alias("label"), F.col(vector).alias("vector")
     )
+    if rows.schema["vector"].dataType.simpleString() != "array<float>":
+        rows = rows.withColumn("vector", F.col("vector").cast("array<double>"))
+    numbers = rows.schema["vector"].dataType.simpleString()
     kind = rows.schema["item"].dataType.simpleString()
 
     def mark(values: list | None) -> bytes | None:
@@ -296,7 +322,7 @@ def marked(vectors: DataFrame, key: str, vector: str, label: str) -> DataFrame:
             marks = [mark(v) for v in batch.column("vector").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(marks, pa.binary())], ["item", "label", "vector", "mark"])
 
-    return rows.mapInArrow(run, f"item {kind}, label string, vector array<double>, mark binary")
+    return rows.mapInArrow(run, f"item {kind}, label string, vector {numbers}, mark binary")
 
 
 def near_duplicates(
