@@ -6,10 +6,15 @@ values each, and every order is sorted across the cluster by complete sort posit
 common, lies in one task. Neighbours in an order that share a prefix of ``SHALLOW`` values are joined into
 candidate clusters: a pair of similarity 0.8 shares one with probability 1 - (1 - 0.8^4)^20 > 0.9999.
 
-The depth adapts to the region. A cluster of up to ``REGION`` classes is compared as a whole. A larger one is cut
-into its regions of ``DEPTH`` equal values in each tree (0.998 for a pair of similarity 0.8, and a class has many
-links there); a region that is still larger is compared block by block. All comparisons are exact, on the
-full sets, and give a spanning forest of the confirmed links, from which components are found.
+The depth adapts to the region. A cluster of up to ``REGION`` classes is compared as a whole, without classes whose
+signature agrees with no other in ``LEAST`` of its values (a pair of similarity 0.8 stays below with a probability
+under 1e-6). A larger one is cut into its regions of ``DEPTH`` equal values in each tree (0.998 for a pair of
+similarity 0.8, and a class has many links there), in two rounds. The first compares, in ``FIRST`` trees, each class
+within its block of at most about ``REGION``. The second compares the regions of all trees that still hold more
+than one component, every block with every block; classes already connected need no further link. All comparisons
+are exact, on the full sets, and give a spanning forest of the confirmed links, from which components are found.
+
+The plan is the same at every size: texts are read once more, in one sort-merge join with the classes to compare.
 
 Defined cases: a text without words, or null, has an empty set and is linked with nothing; a shorter text than
 ``width`` words has its whole sequence as its one shingle; a null id is linked with nothing and kept; rows that
@@ -32,6 +37,8 @@ from floorlens.session import pin
 
 TREES, DEPTH, SHALLOW = 20, 6, 4
 REGION = 128
+FIRST = 3
+LEAST = 0.6
 PERCENT = 80
 CHUNK = 1 << 12
 _draw = np.random.default_rng(99)
@@ -75,7 +82,7 @@ def signature(shingles: np.ndarray) -> np.ndarray:
         part = np.multiply.outer(MULTIPLIERS, shingles[at : at + CHUNK])
         part += OFFSETS[:, None]
         np.minimum(out, part.min(axis=1), out=out)
-    return (out >> np.uint64(32)).astype(np.uint32)
+    return (out >> np.uint64(48)).astype(np.uint16)
 
 
 def signatures(docs: DataFrame, width: int, key: str, text: str) -> DataFrame:
@@ -110,14 +117,14 @@ def orders(classes: DataFrame) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 5000):
                 part = batch.slice(at, 5000)
-                matrix = np.frombuffer(b"".join(part.column(1).to_pylist()), np.int32).reshape(part.num_rows, TREES, DEPTH)
+                matrix = np.frombuffer(b"".join(part.column(1).to_pylist()), np.int16).reshape(part.num_rows, TREES, DEPTH)
                 for tree in range(TREES):
                     own = np.ascontiguousarray(matrix[:, tree].T)
                     yield pa.RecordBatch.from_arrays(
                         [part.column(0), pa.array(np.full(part.num_rows, tree, np.int32)), *map(pa.array, own)],
                         ["item", "tree", *VALUES])
 
-    return classes.select("item", "signature").mapInArrow(run, f"item {kind}, tree int, " + ", ".join(f"{v} int" for v in VALUES))
+    return classes.select("item", "signature").mapInArrow(run, f"item {kind}, tree int, " + ", ".join(f"{v} short" for v in VALUES))
 
 
 def neighbours(rows: DataFrame) -> DataFrame:
@@ -155,7 +162,7 @@ def neighbours(rows: DataFrame) -> DataFrame:
     order = ["tree", *VALUES, "item"]
     found = pin(
         rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(
-            run, f"a {kind}, b {kind}, depth int, item {kind}, tree int, " + ", ".join(f"{v} int" for v in VALUES)
+            run, f"a {kind}, b {kind}, depth int, item {kind}, tree int, " + ", ".join(f"{v} short" for v in VALUES)
         )
     )
     before = Window.partitionBy("tree").orderBy(*VALUES, "item")
@@ -167,26 +174,62 @@ def neighbours(rows: DataFrame) -> DataFrame:
     return found.where("depth IS NOT NULL").select("a", "b", "depth").union(edges.where((F.col("depth") >= SHALLOW) & (F.col("a") != F.col("b"))))
 
 
-def compared(classes: DataFrame) -> DataFrame:
-    """``task`` and ``item``: which classes are compared with each other."""
-    rows = pin(orders(classes))
-    edges = pin(neighbours(rows))
-    clusters = pin(components(edges))
+def similar(clusters: DataFrame) -> DataFrame:
+    """``task`` and ``item``: the members of small clusters whose signature is like that of another one."""
+
+    def run(group: pa.Table) -> pa.Table:
+        x = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint16).reshape(group.num_rows, -1)
+        near = np.zeros(len(x), bool)
+        for i in range(len(x)):
+            hit = (x[i] == x).mean(axis=1) >= LEAST
+            hit[i] = False
+            near |= hit
+            near[i] |= hit.any()
+        return group.select(["task", "item"]).filter(pa.array(near))
+
+    kind = clusters.schema["item"].dataType.simpleString()
+    return clusters.groupBy("task").applyInArrow(run, f"task string, item {kind}")
+
+
+def compared(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``task`` and ``item``: which classes are compared with each other first, and ``item`` and ``region`` of large clusters."""
+    rows = orders(classes)
+    clusters = pin(components(pin(neighbours(rows))))
     sizes = pin(clusters.groupBy("component").agg(F.count("*").alias("n")))
-    clusters = clusters.join(sizes, "component")
-    small = clusters.where(F.col("n") <= REGION).select(F.concat(F.lit("c"), F.col("component").cast("string")).alias("task"), F.col("node").alias("item"))
-    large = pin(clusters.where(F.col("n") > REGION).select(F.col("node").alias("item")))
-    regions = pin(rows.join(large, "item").select("item", F.concat_ws(".", "tree", *VALUES).alias("region")))
+    clusters = clusters.join(sizes, "component").withColumnRenamed("node", "item")
+    small = clusters.where(F.col("n") <= REGION).select(F.concat(F.lit("c"), F.col("component").cast("string")).alias("task"), "item")
+    small = similar(small.join(classes.select("item", "signature"), "item"))
+    large = pin(clusters.where(F.col("n") > REGION).select("item"))
+    regions = pin(orders(classes.join(large, "item", "left_semi")).select("item", "tree", F.concat_ws(".", "tree", *VALUES).alias("region")))
+    own = blocks(regions.where(F.col("tree") < FIRST))
+    first = own.select(F.concat_ws("/", F.concat(F.lit("r"), F.col("region")), "block").alias("task"), "item")
+    return pin(small.union(first)), regions.select("item", "region")
+
+
+def blocks(regions: DataFrame) -> DataFrame:
+    """The regions of several classes, each class with the number of ``blocks`` and its own ``block``."""
     sizes = pin(regions.groupBy("region").agg(F.count("*").alias("n")).where("n > 1"))
-    regions = regions.join(sizes, "region").withColumn("blocks", F.ceil(F.col("n") / REGION))
-    regions = regions.withColumn("block", F.pmod(F.xxhash64("item"), F.col("blocks")))
+    out = regions.join(sizes, "region").withColumn("blocks", F.ceil(F.col("n") / REGION))
+    return out.withColumn("block", F.pmod(F.xxhash64("item"), F.col("blocks")))
+
+
+def still_open(regions: DataFrame, found: DataFrame) -> DataFrame:
+    """``task`` and ``item`` of the regions that hold more than one component."""
+    known = pin(
+        regions.join(found, F.col("item") == F.col("node"), "left")
+        .select("item", "region", F.coalesce("component", "item").alias("component"))
+    )
+    several = pin(
+        known.groupBy("region").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+        .where("least <> most").select("region")
+    )
+    rows = blocks(known.join(several, "region").select("item", "region"))
     # With more than one block, each pair of blocks is a task, so that every pair of rows meets.
-    others = regions.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    others = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     others = others.where((F.col("blocks") == 1) | (F.col("block") != F.col("other")))
-    deep = others.select(
+    return pin(others.select(
         F.concat_ws("/", F.concat(F.lit("r"), F.col("region")), F.least("block", "other"), F.greatest("block", "other")).alias("task"), "item"
-    )
-    return small.union(deep)
+    ))
 
 
 def confirmed(items: list, sets: list[np.ndarray], percent: int) -> list[tuple]:
@@ -224,45 +267,47 @@ def confirmed(items: list, sets: list[np.ndarray], percent: int) -> list[tuple]:
     return out
 
 
-def links(docs: DataFrame, classes: DataFrame, width: int, percent: int, key: str, text: str) -> DataFrame:
-    """Confirmed links ``a``, ``b`` between classes; only texts that are compared at all are read again."""
-    tasks = pin(compared(classes))
-    wanted = pin(tasks.select("item").distinct().join(classes.select("item", "mark"), "item"))
-    texts = docs.select(F.col(key).alias("item"), F.col(text).alias("body")).join(wanted, "item")
-    kind = classes.schema["item"].dataType.simpleString()
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Memo(_hash_words)
-        for batch in batches:
-            for part in text_batches(batch, "body"):
-                own = [s.tobytes() for s in shingle_sets(part.column("body"), width, memo)]
-                same = pa.array([xxhash.xxh3_128_digest(s) == m for s, m in zip(own, part.column("mark").to_pylist())], pa.bool_())
-                out = pa.RecordBatch.from_arrays([part.column("item"), pa.array(own, pa.binary())], ["item", "shingles"])
-                yield out.filter(same)
+def links(tasks: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Confirmed links ``a``, ``b`` between the classes of each task, from their ``mark`` and ``body``."""
+    kind = tasks.schema["item"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, items, own = None, [], []
+        memo = Memo(_hash_words)
+        task, held = None, {}
 
         def done() -> list[tuple]:
-            return confirmed(items, own, percent) if len(items) > 1 else []
+            return confirmed(list(held), list(held.values()), percent) if len(held) > 1 else []
 
         for batch in batches:
             out = []
-            for name, item, data in zip(*(c.to_pylist() for c in batch.columns)):
-                if name != task:
-                    out += done()
-                    task, items, own = name, [], []
-                items.append(item)
-                own.append(np.frombuffer(data, np.uint64))
+            for part in text_batches(batch, "body"):
+                sets = shingle_sets(part.column("body"), width, memo)
+                for name, item, mark, own in zip(*(part.column(c).to_pylist() for c in ("task", "item", "mark")), sets):
+                    if name != task:
+                        out += done()
+                        task, held = name, {}
+                    # Rows that share an id hold other texts too; the class is the one with the mark.
+                    if item not in held and xxhash.xxh3_128_digest(own.tobytes()) == mark:
+                        held[item] = own
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, batch.schema.field(1).type) for c in zip(*out)], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, batch.schema.field("item").type) for c in zip(*out)], ["a", "b"])
         if out := done():
-            yield pa.RecordBatch.from_arrays([pa.array(c, batch.schema.field(1).type) for c in zip(*out)], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, batch.schema.field("item").type) for c in zip(*out)], ["a", "b"])
+
+    parts = int(tasks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = tasks.join(texts.hint("merge"), "item").select("task", "item", "mark", "body")
+    return pin(rows.repartition(parts, "task").sortWithinPartitions("task").mapInArrow(run, f"a {kind}, b {kind}"))
+
 
-    found = pin(texts.select("item", "mark", "body").mapInArrow(sets, f"item {kind}, shingles binary").dropDuplicates(["item"]))
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = tasks.join(found, "item").select("task", "item", "shingles")
-    return rows.repartition(parts, "task").sortWithinPartitions("task").mapInArrow(run, f"a {kind}, b {kind}")
+def linked(docs: DataFrame, classes: DataFrame, width: int, percent: int, key: str, text: str) -> DataFrame:
+    """Components of the classes by confirmed links; only texts that are compared at all are kept for it."""
+    tasks, regions = compared(classes)
+    wanted = pin(tasks.select("item").union(regions.select("item")).distinct().join(classes.select("item", "mark"), "item"))
+    texts = docs.select(F.col(key).alias("item"), F.col(text).alias("body"))
+    texts = pin(texts.join(wanted.hint("merge"), "item").select("item", "mark", "body"))
+    first = links(tasks, texts, width, percent)
+    open_ = still_open(regions, components(first))
+    return components(first.union(links(open_, texts, width, percent)))
 
 
 def near_duplicates(
@@ -274,7 +319,7 @@ def near_duplicates(
         rows.where("item IS NOT NULL AND mark IS NOT NULL").groupBy("mark")
         .agg(F.min("item").alias("item"), F.first("signature").alias("signature"))
     )
-    found = components(links(docs, classes, width, percent, key, text))
+    found = linked(docs, classes, width, percent, key, text)
     roots = pin(
         classes.select("mark", "item").join(found, F.col("item") == F.col("node"), "left")
         .select("mark", F.coalesce("component", "item").alias("component"))
