@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from floorlens.session import pin
+
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 
 #: Condition of failure by rule; the place in this mapping is the rule's bit.
@@ -126,4 +128,5 @@ def accept(docs: DataFrame, policy: str = CURRENT, text: str = "text") -> DataFr
     while spot in docs.columns:
         spot += "_"
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(spot), F.col(text).alias("_text"))
-    return judge(rows, policy, spot, "_text").where("kept").select(f"{spot}.*")
+    # Written before it is filtered: pushed below the measurements, the verdict would repeat them many times over.
+    return pin(judge(rows, policy, spot, "_text").select(spot, "kept")).where("kept").select(f"{spot}.*")
