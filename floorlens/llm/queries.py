@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from floorlens.llm import arc, byte_bpe, crf, flat_graph, interleave, lsh_forest, packing, ppm, quality, url_rules
+from floorlens.llm import arc, byte_bpe, crf, flat_graph, interleave, lsh_forest, packing, ppm, quality, sql, url_rules
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -91,4 +91,4 @@ LLM_QUERIES = {
     "op10_lm_scores": partial_matching_scores,
 }
 
-LLM_SQL: dict[str, str] = {}
+LLM_SQL = {"op3_arc_to_warc": sql.PAGES, "op4_quality_rules": sql.QUALITY, "op8_sharding": sql.SHARDED}
