@@ -38,6 +38,7 @@ from floorlens.session import pin
 TREES, DEPTH, SHALLOW = 20, 6, 4
 REGION = 128
 FIRST = 3
+STAR = 64
 LEAST = 0.6
 PERCENT = 80
 CHUNK = 1 << 12
@@ -128,13 +129,14 @@ def orders(classes: DataFrame) -> DataFrame:
 
 
 def neighbours(rows: DataFrame) -> DataFrame:
-    """``a``, ``b`` and ``depth``: neighbours in an order with a common prefix of ``SHALLOW`` values or more.
+    """``a`` and ``b``: links that connect neighbours in an order with a common prefix of ``SHALLOW`` values or more.
 
-    Each task links the rows it holds; its first and last row are linked with those of the tasks beside it in a
-    second step over these alone.
+    A run of such neighbours is linked as stars of up to ``STAR`` rows, centre to centre, so paths are short and
+    no row has many links. Each task links the rows it holds; its first and last row are linked with those of the
+    tasks beside it in a second step over these alone.
     """
     kind = rows.schema["item"].dataType.simpleString()
-    names = ["a", "b", "depth", "item", "tree", *VALUES]
+    names = ["a", "b", "item", "tree", *VALUES]
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,15 +146,16 @@ def neighbours(rows: DataFrame) -> DataFrame:
                 continue
             held = pa.Table.from_batches(([last] if last is not None else []) + [batch]).combine_chunks().to_batches()[0]
             keys = np.stack([held.column(n).to_numpy() for n in ["tree", *VALUES]])
-            depth = np.cumprod(keys[:, 1:] == keys[:, :-1], axis=0).sum(axis=0) - 1
-            hit = np.flatnonzero(depth >= SHALLOW)
+            linked = (keys[: SHALLOW + 1, 1:] == keys[: SHALLOW + 1, :-1]).all(axis=0)
+            hit = np.flatnonzero(linked)
             items = held.column("item")
             none = lambda n: [pa.nulls(n, held.schema.field(c).type) for c in ["item", "tree", *VALUES]]
             if len(hit):
-                yield pa.RecordBatch.from_arrays(
-                    [items.take(pa.array(hit)), items.take(pa.array(hit + 1)), pa.array(depth[hit].astype(np.int32)), *none(len(hit))], names)
+                first = np.maximum.accumulate(np.where(np.insert(linked, 0, False), 0, np.arange(len(linked) + 1)))
+                centre = first[hit] + (hit - first[hit]) // STAR * STAR
+                yield pa.RecordBatch.from_arrays([items.take(pa.array(centre)), items.take(pa.array(hit + 1)), *none(len(hit))], names)
             edge = lambda row: pa.RecordBatch.from_arrays(
-                [pa.nulls(1, items.type), pa.nulls(1, items.type), pa.nulls(1, pa.int32()), *[row.column(c) for c in ["item", "tree", *VALUES]]], names)
+                [pa.nulls(1, items.type), pa.nulls(1, items.type), *[row.column(c) for c in ["item", "tree", *VALUES]]], names)
             if last is None:
                 yield edge(held.slice(0, 1))
             last = held.slice(held.num_rows - 1, 1)
@@ -162,16 +165,15 @@ def neighbours(rows: DataFrame) -> DataFrame:
     order = ["tree", *VALUES, "item"]
     found = pin(
         rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(
-            run, f"a {kind}, b {kind}, depth int, item {kind}, tree int, " + ", ".join(f"{v} short" for v in VALUES)
+            run, f"a {kind}, b {kind}, item {kind}, tree int, " + ", ".join(f"{v} short" for v in VALUES)
         )
     )
     before = Window.partitionBy("tree").orderBy(*VALUES, "item")
-    depth, equal = F.lit(0), F.lit(True)
-    for v in VALUES:
+    equal = F.lit(True)
+    for v in VALUES[:SHALLOW]:
         equal = equal & (F.col(v) == F.lag(v).over(before))
-        depth = depth + F.when(equal, 1).otherwise(0)
-    edges = found.where("tree IS NOT NULL").select(F.lag("item").over(before).alias("a"), F.col("item").alias("b"), depth.alias("depth"))
-    return found.where("depth IS NOT NULL").select("a", "b", "depth").union(edges.where((F.col("depth") >= SHALLOW) & (F.col("a") != F.col("b"))))
+    edges = found.where("tree IS NOT NULL").select(F.lag("item").over(before).alias("a"), F.col("item").alias("b"), equal.alias("equal"))
+    return found.where("tree IS NULL").select("a", "b").union(edges.where("equal AND a <> b").select("a", "b"))
 
 
 def similar(clusters: DataFrame) -> DataFrame:
