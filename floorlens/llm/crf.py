@@ -128,10 +128,21 @@ def forward_backward(scores: np.ndarray, lengths: np.ndarray, field: Field) -> t
 
 
 def sample(docs: DataFrame, training: Column, text: str, label: str, key: str) -> list[tuple[str, int, str]]:
-    """At most ``SAMPLE_DOCS`` stretches of text per language, as (language, hash, text)."""
+    """At most ``SAMPLE_DOCS`` stretches of text per language, as (language, hash, text).
+
+    The lowest hashes of a language are taken. Only rows below a hash that leaves about twice as many, by the
+    language's number of rows, are shuffled, so no task gathers more as the input or its partitions grow.
+    """
     rows = docs.where(training & F.col(label).isNotNull() & F.col(text).isNotNull()).select(
-        F.col(label).alias("label"), F.xxhash64(F.col(key).cast("string"), F.lit(7)).alias("mark"), F.col(text).alias("body")
+        F.col(label).alias("label"), F.xxhash64(F.coalesce(F.col(key).cast("string"), text), F.lit(7)).alias("mark"), F.col(text).alias("body")
     )
+    limits = []
+    for name, n, least in rows.groupBy("label").agg(F.count("*"), F.min("mark")).collect():
+        share = min(2 * SAMPLE_DOCS * 2**64 // n, 2**64 - 1)
+        limits += [F.lit(name), F.lit(max(least, share - 2**63))]
+    if not limits:
+        return []
+    rows = rows.where(F.col("mark") <= F.create_map(*limits)[F.col("label")])
     place = F.pmod("mark", F.greatest(F.length("body") - SAMPLE_CHARS, F.lit(1))) + 1
     rows = rows.select("label", "mark", F.substring("body", place.cast("int"), F.lit(SAMPLE_CHARS)).alias("body"))
     first = F.row_number().over(Window.partitionBy("label").orderBy("mark", "body"))
