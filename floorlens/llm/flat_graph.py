@@ -3,15 +3,17 @@
 Equal vectors of a label are one class. Classes are dealt into overlapping cluster shards of at most about
 ``SHARD`` members: centroids fitted on a bounded sample of a group split it, each vector goes to its ``overlap``
 nearest ones, and shards that are still too large are split again, with less overlap each time, so that the
-copies of a vector stay bounded. A ball of nearly equal vectors cannot be split by centroids: it is dealt into
-blocks, and each pair of blocks is a shard, as many as its own links need. In every shard a graph of nearest
+copies of a vector stay bounded. A ball of nearly equal vectors cannot be split by centroids, also where it is only a
+part of its group: its core is dealt into blocks with all vectors that can link with it, and each pair of blocks that
+holds one of the core is a shard, as many as its own links need. In every shard a graph of nearest
 neighbours is built and pruned: a neighbour is left out if one kept before it is closer to it by ``ALPHA``.
 Adjacency lists of all shards are united. Then every vector walks greedily from its shards' medoids; from its own
 node and each one found within the radius, less ``SLACK``, the search goes on to their neighbours until none is
 new. What is found is checked by the cosine in double precision, so no link below the radius is given.
 
-Recall is audited against brute force: a bounded sample of queries against all classes. Below ``LEAST_RECALL`` the
-overlap is doubled and the graph built again, up to ``MOST_OVERLAP``; the last audit is returned by ``audited``.
+Recall is audited against brute force: a bounded sample of queries against all classes, averaged per query, so that a
+group of many links does not hide the others. Labels below ``LEAST_RECALL`` (all, if the whole sample is below) are
+searched again with twice the overlap, up to ``MOST_OVERLAP``, then compared exactly, every block with every block.
 
 Defined cases: vectors that are null, zero or hold null or non-finite components, and rows without label, link
 with nothing; vectors of different length are not compared; rows that share an id are rows of their own with one
@@ -36,8 +38,8 @@ RADIUS = 0.93
 SHARD = 1536
 SAMPLE = 4096
 CENTROIDS = 128
-#: A shard whose sample lies this close to its mean is a ball.
-TIGHT = 0.9
+#: Vectors this close to their mean are a ball, if at least ``LEAST_BALL`` of the sample are and they fill a shard.
+TIGHT, LEAST_BALL = 0.9, 32
 OVERLAP, MOST_OVERLAP = 3, 12
 CANDIDATES, DEGREE, ALPHA = 48, 24, 1.2
 SLACK = 0.03
@@ -45,6 +47,8 @@ STEP = 1024
 PAIRS = 1 << 16
 AUDIT = 200
 LEAST_RECALL = 0.97
+#: Vectors in a block of the exact comparison.
+BLOCK = 2048
 
 
 def _unit(lists: pa.ListArray | pa.ChunkedArray) -> np.ndarray:
@@ -67,7 +71,33 @@ def fit_centroids(x: np.ndarray, kinds: int) -> np.ndarray:
     return centres
 
 
-def shards(classes: DataFrame, overlap: int) -> DataFrame:
+def balls(x: np.ndarray, least: float) -> np.ndarray:
+    """Centres of balls that hold at least ``least`` rows each, the densest first."""
+    out, rough = [], x.astype(np.float32)
+    while len(rough) >= least:
+        met = np.concatenate([(rough[at : at + 512] @ rough.T >= TIGHT).sum(axis=1) for at in range(0, len(rough), 512)])
+        centre = rough[rough @ rough[met.argmax()] >= TIGHT].mean(axis=0)
+        centre /= max(np.linalg.norm(centre), 1e-30)
+        inside = rough @ centre >= TIGHT
+        if inside.sum() < least:
+            break
+        out.append(centre)
+        rough = rough[~inside]
+    return np.array(out, np.float64).reshape(len(out), x.shape[1])
+
+
+def dealt_to_balls(x: np.ndarray, centres: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
+    """The ball in whose core each row is, or -1, and ``halo[row, ball]``: outside the core, but may link with it.
+
+    Two cores meet in the halo of the first.
+    """
+    sims = x @ centres.T
+    own = np.where(sims.max(axis=1) >= TIGHT, sims.argmax(axis=1), -1)
+    halo = sims >= np.cos(min(np.arccos(TIGHT) + np.arccos(radius), np.pi)) - 1e-9
+    return own, halo & ((own < 0)[:, None] | (np.arange(len(centres)) < own[:, None]))
+
+
+def shards(classes: DataFrame, overlap: int, radius: float = RADIUS) -> DataFrame:
     """``shard``, ``item`` and ``vector``: each class in at least one shard, in several where they overlap."""
     kind = classes.schema["item"].dataType.simpleString()
     numbers = classes.schema["vector"].dataType.simpleString()
@@ -90,17 +120,26 @@ def shards(classes: DataFrame, overlap: int) -> DataFrame:
         def centres(group: pa.Table) -> pa.Table:
             n = group.column("n")[0].as_py()
             x = _unit(group.column("vector"))
-            mean = x.mean(axis=0)
-            blocks = -(-3 * n // SHARD) if (x @ mean).min() >= TIGHT * max(np.linalg.norm(mean), 1e-300) else 0
-            # More shards than the mean size asks for, as their sizes differ.
-            found = fit_centroids(x, min(CENTROIDS, max(2 * share, -(-8 * share * n // (5 * SHARD))), len(x)))
+            found = balls(x, max(min(LEAST_BALL, SHARD), SHARD * len(x) / n))
+            cores, halos = [], []
+            if len(found):
+                own, halo = dealt_to_balls(x, found, radius)
+                blocks = lambda rows: int(-(-3 * n * rows // (SHARD * len(x))))
+                cores = [max(2, blocks((own == k).sum())) for k in range(len(found))]
+                halos = [max(1, blocks(halo[:, k].sum())) for k in range(len(found))]
+            else:
+                # More shards than the mean size asks for, as their sizes differ.
+                found = fit_centroids(x, min(CENTROIDS, max(2 * share, -(-8 * share * n // (5 * SHARD))), len(x)))
             return pa.table({
-                "shard": group.column("shard")[:1], "blocks": pa.array([blocks]),
+                "shard": group.column("shard")[:1], "cores": pa.array([cores], pa.list_(pa.int64())),
+                "halos": pa.array([halos], pa.list_(pa.int64())),
                 "centres": pa.array([found.ravel()], pa.list_(pa.float64())),
             })
 
         table = pin(
-            drawn.select("shard", "n", "vector").groupBy("shard").applyInArrow(centres, "shard string, blocks long, centres array<double>")
+            drawn.select("shard", "n", "vector").groupBy("shard").applyInArrow(
+                centres, "shard string, cores array<long>, halos array<long>, centres array<double>"
+            )
         )
 
         def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,18 +148,27 @@ def shards(classes: DataFrame, overlap: int) -> DataFrame:
                 for name in dict.fromkeys(names.tolist()):
                     at = np.flatnonzero(names == name)
                     part = batch.take(pa.array(at))
-                    blocks = part.column("blocks")[0].as_py()
-                    if blocks:
-                        own = part.column("mark").to_numpy() % blocks
-                        other = (own[:, None] + np.arange(1, blocks)) % blocks
-                        low, high = np.minimum(own[:, None], other), np.maximum(own[:, None], other)
-                        near, width = [f"{i}-{j}" for i, j in zip(low.ravel().tolist(), high.ravel().tolist())], blocks - 1
+                    cores, halos = (np.array(part.column(c)[0].as_py(), np.int64) for c in ("cores", "halos"))
+                    x = _unit(part.column("vector"))
+                    c = np.array(part.column("centres")[0].as_py()).reshape(-1, x.shape[1])
+                    if len(cores):
+                        own, halo = dealt_to_balls(x, c, radius)
+                        mark, rows, near = part.column("mark").to_numpy(), [], []
+                        for i in np.flatnonzero(own >= 0).tolist():
+                            k = own[i]
+                            block = mark[i] % cores[k]
+                            names_ = [f"{k}={min(block, j)}-{max(block, j)}!" for j in range(cores[k]) if j != block]
+                            names_ += [f"{k}={block}~{j}!" for j in range(halos[k])]
+                            rows += [i] * len(names_)
+                            near += names_
+                        for i, k in zip(*(v.tolist() for v in np.nonzero(halo))):
+                            rows += [i] * cores[k]
+                            near += [f"{k}={j}~{mark[i] % halos[k]}!" for j in range(cores[k])]
+                        rest = np.flatnonzero(own < 0).tolist()
+                        rows, near = pa.array(rows + rest, pa.int64()), near + ["rest"] * len(rest)
                     else:
-                        x = _unit(part.column("vector"))
-                        c = np.array(part.column("centres")[0].as_py()).reshape(-1, x.shape[1])
                         picks = np.argsort(-(x @ c.T), axis=1)[:, : min(share, max(1, len(c) // 2))]
-                        near, width = picks.ravel().tolist(), picks.shape[1]
-                    rows = pa.array(np.repeat(np.arange(len(at)), width))
+                        rows, near = pa.array(np.repeat(np.arange(len(at)), picks.shape[1])), picks.ravel().tolist()
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([f"{name}/{k}" for k in near]), part.column("item").take(rows), part.column("vector").take(rows)],
                         ["shard", "item", "vector"])
@@ -260,11 +308,41 @@ def search(members: DataFrame, radius: float) -> DataFrame:
     return pin(rows.groupBy("shard").applyInArrow(run, f"a {kind}, b {kind}").distinct())
 
 
-def audit(classes: DataFrame, links: DataFrame, radius: float) -> tuple[int, int]:
-    """Links of at most ``AUDIT`` sampled classes: how many brute force finds, and how many of them are in ``links``."""
+def exact(classes: DataFrame, radius: float) -> DataFrame:
+    """All links ``a`` < ``b``: the classes of a label are dealt into blocks, and each pair of blocks is compared."""
+    kind = classes.schema["item"].dataType.simpleString()
+    rows = classes.select(F.concat_ws(":", "label", F.size("vector")).alias("shard"), "item", "vector")
+    sizes = pin(rows.groupBy("shard").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")))
+    rows = rows.join(sizes, "shard").withColumn("block", F.pmod(F.xxhash64("item"), F.col("blocks")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    rows = rows.select(
+        "shard", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "item", "vector"
+    )
+
+    def run(group: pa.Table) -> pa.Table:
+        x, items = _unit(group.column("vector")), group.column("item").combine_chunks()
+        first = group.column("block").to_numpy() == group.column("low")[0].as_py()
+        left, right = np.flatnonzero(first), np.flatnonzero(~first)
+        same = group.column("low")[0].as_py() == group.column("high")[0].as_py()
+        right = left if same else right
+        one, two = [], []
+        for at in range(0, len(left), STEP):
+            q, r = np.nonzero(x[left[at : at + STEP]] @ x[right].T >= radius)
+            q = q + at
+            one.append(left[q[q < r]] if same else left[q])
+            two.append(right[r[q < r]] if same else right[r])
+        none = [np.empty(0, np.int64)]
+        one, two = (items.take(pa.array(np.concatenate(none + v))) for v in (one, two))
+        return pa.table({"a": pc.min_element_wise(one, two), "b": pc.max_element_wise(one, two)})
+
+    return pin(rows.groupBy("shard", "low", "high").applyInArrow(run, f"a {kind}, b {kind}"))
+
+
+def audit(classes: DataFrame, links: DataFrame, radius: float) -> list[tuple[str, float]]:
+    """Of at most ``AUDIT`` sampled classes that brute force finds links of: the label, and the share of them in ``links``."""
     drawn = classes.orderBy(F.xxhash64("item"), "item").limit(AUDIT).select("label", "item", "vector").collect()
     if not drawn:
-        return 0, 0
+        return []
     by_label: dict = {}
     for r in drawn:
         by_label.setdefault((r["label"], len(r["vector"])), []).append(r)
@@ -287,19 +365,29 @@ def audit(classes: DataFrame, links: DataFrame, radius: float) -> tuple[int, int
                 yield pa.RecordBatch.from_arrays([queries, part.column("item").take(pa.array(r))], ["a", "b"])
 
     rows = classes.withColumn("dims", F.size("vector")).select("label", "dims", "item", "vector")
-    truth = pin(rows.mapInArrow(run, f"a {kind}, b {kind}").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    return truth.count(), truth.join(links, ["a", "b"], "left_semi").count()
+    truth = pin(rows.mapInArrow(run, f"a {kind}, b {kind}").where("a <> b").select(
+        F.col("a").alias("query"), F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    ))
+    met = truth.join(links.select("a", "b", F.lit(1).alias("met")), ["a", "b"], "left")
+    shares = met.groupBy("query").agg((F.count("met") / F.count("*")).alias("share")).collect()
+    labels = {r["item"]: r["label"] for r in drawn}
+    return [(labels[r["query"]], r["share"]) for r in shares]
 
 
 def audited(classes: DataFrame, radius: float = RADIUS) -> tuple[DataFrame, float]:
-    """Links between classes and their recall on the audited sample."""
-    overlap = OVERLAP
+    """Links between classes and their mean recall per query on the audited sample."""
+    overlap, links, open_ = OVERLAP, None, classes
     while True:
-        links = search(shards(classes, overlap), radius)
-        true, met = audit(classes, links, radius)
-        recall = met / true if true else 1.0
-        if recall >= LEAST_RECALL or 2 * overlap > MOST_OVERLAP:
+        fresh = search(shards(open_, overlap, radius), radius) if overlap <= MOST_OVERLAP else exact(open_, radius)
+        links = fresh if links is None else pin(links.union(fresh).distinct())
+        found = audit(classes, links, radius)
+        recall = float(np.mean([share for _, share in found])) if found else 1.0
+        by_label = pd.DataFrame(found, columns=["label", "share"]).groupby("label").share.mean()
+        low = by_label.index[by_label < LEAST_RECALL].tolist()
+        if not low or overlap > MOST_OVERLAP:
             return links, recall
+        # A low mean speaks of labels without sampled links, too.
+        open_ = classes if recall < LEAST_RECALL else classes.where(F.col("label").isin(low))
         overlap *= 2
 
 

@@ -46,3 +46,32 @@ def test_the_pipeline_ends_and_packs_only_what_each_stage_keeps(spark):
     assert (whole.got == whole.want).all()
     kept = docs.where(F.col("doc_id").isin(out.doc_id.unique().tolist()))
     assert kept.select("text").distinct().count() == kept.count()
+
+
+def brute_force(x):
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    return (unit @ unit.T >= 0.93).sum(axis=1) - 1
+
+
+def test_a_ball_with_stray_vectors_keeps_all_its_links(spark, monkeypatch):
+    monkeypatch.setattr(flat_graph, "SHARD", 60)
+    monkeypatch.setattr(flat_graph, "OVERLAP", 12)
+    monkeypatch.setattr(flat_graph, "LEAST_RECALL", 0)
+    draw = np.random.default_rng(5)
+    ball = draw.normal(size=16) + draw.normal(scale=0.15, size=(900, 16))
+    x = np.concatenate([ball, draw.normal(size=(100, 16))])
+    rows = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r.n_links for r in flat_graph.near_duplicates(rows).collect()}
+    want = brute_force(x)
+    assert sum(got.values()) >= 0.995 * want.sum()
+
+
+def test_links_the_graph_misses_are_compared_exactly(spark, monkeypatch):
+    monkeypatch.setattr(flat_graph, "BLOCK", 50, raising=False)
+    monkeypatch.setattr(flat_graph, "search", lambda members, radius: members.select(F.col("item").alias("a"), F.col("item").alias("b")).limit(0))
+    draw = np.random.default_rng(6)
+    base = draw.normal(size=(100, 16))
+    x = np.concatenate([base, base + draw.normal(scale=0.05, size=base.shape)])
+    rows = spark.createDataFrame([(i, v.tolist(), i % 2) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r.n_links for r in flat_graph.near_duplicates(rows).collect()}
+    assert got == dict(enumerate(brute_force(x))) and set(got.values()) == {1}
