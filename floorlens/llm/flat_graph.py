@@ -2,14 +2,15 @@
 
 Equal vectors of a label are one class. Classes are dealt into overlapping cluster shards of at most about
 ``SHARD`` members: centroids fitted on a bounded sample of a group split it, each vector goes to its ``overlap``
-nearest ones, and shards that are still too large are split again, with less overlap each time, so that the
-copies of a vector stay bounded. A ball of nearly equal vectors cannot be split by centroids, also where it is only a
+nearest ones, and shards that are still too large are split again, with less overlap each time but two at least. A ball of nearly equal vectors cannot be split by centroids, also where it is only a
 part of its group: its core is dealt into blocks with all vectors that can link with it, and each pair of blocks that
 holds one of the core is a shard, as many as its own links need. In every shard a graph of nearest
 neighbours is built and pruned: a neighbour is left out if one kept before it is closer to it by ``ALPHA``.
 Adjacency lists of all shards are united. Then every vector walks greedily from its shards' medoids; from its own
 node and each one found within the radius, less ``SLACK``, the search goes on to their neighbours until none is
-new. What is found is checked by the cosine in double precision, so no link below the radius is given.
+new. The search then follows united edges out of the shards: what leads from a row found to one that has no shard in
+common with the query is joined with the vectors, round by round, until nothing new lies within the radius, less
+``SLACK``. What is found is checked by the cosine in double precision, so no link below the radius is given.
 
 Recall is audited against brute force: a bounded sample of queries against all classes, averaged per query, so that a
 group of many links does not hide the others. Labels below ``LEAST_RECALL`` (all, if the whole sample is below) are
@@ -98,24 +99,28 @@ def dealt_to_balls(x: np.ndarray, centres: np.ndarray, radius: float) -> tuple[n
 
 
 def shards(classes: DataFrame, overlap: int, radius: float = RADIUS) -> DataFrame:
-    """``shard``, ``item`` and ``vector``: each class in at least one shard, in several where they overlap."""
+    """``shard``, ``item``, ``vector`` and ``core``: each class in at least one shard, in several where they overlap.
+
+    Shards of a ball end with ``!``; ``core`` is false for rows of its halo, which do not all meet each other.
+    """
     kind = classes.schema["item"].dataType.simpleString()
     numbers = classes.schema["vector"].dataType.simpleString()
-    open_ = classes.select(F.concat_ws(":", "label", F.size("vector")).alias("shard"), "item", "vector")
+    open_ = classes.select(F.concat_ws(":", "label", F.size("vector")).alias("shard"), "item", "vector", F.lit(True).alias("core"))
     done, rounds = [], 0
     while True:
         open_ = pin(open_)
         sizes = pin(open_.groupBy("shard").agg(F.count("*").alias("n")))
-        large = sizes.where(F.col("n") > SHARD)
+        fits = (F.col("n") <= SHARD) | F.endswith("shard", F.lit("!"))
+        large = sizes.where(~fits)
         if rounds == 12 or not large.limit(1).count():
             done.append(open_)
             break
-        rest = sizes.where(F.col("n") <= SHARD).select("shard")
+        rest = sizes.where(fits).select("shard")
         done.append(open_.join(rest, "shard", "left_semi"))
         first = F.row_number().over(Window.partitionBy("shard").orderBy(F.xxhash64("item"), "item"))
         drawn = open_.withColumn("rank", first).where(F.col("rank") <= SAMPLE).join(large, "shard")
 
-        share = max(1, overlap >> rounds)
+        share = max(2, overlap >> rounds)
 
         def centres(group: pa.Table) -> pa.Table:
             n = group.column("n")[0].as_py()
@@ -161,20 +166,23 @@ def shards(classes: DataFrame, overlap: int, radius: float = RADIUS) -> DataFram
                             names_ += [f"{k}={block}~{j}!" for j in range(halos[k])]
                             rows += [i] * len(names_)
                             near += names_
+                        full = len(rows)
                         for i, k in zip(*(v.tolist() for v in np.nonzero(halo))):
                             rows += [i] * cores[k]
                             near += [f"{k}={j}~{mark[i] % halos[k]}!" for j in range(cores[k])]
                         rest = np.flatnonzero(own < 0).tolist()
+                        flags = [True] * full + [False] * (len(rows) - full) + [True] * len(rest)
                         rows, near = pa.array(rows + rest, pa.int64()), near + ["rest"] * len(rest)
                     else:
                         picks = np.argsort(-(x @ c.T), axis=1)[:, : min(share, max(1, len(c) // 2))]
                         rows, near = pa.array(np.repeat(np.arange(len(at)), picks.shape[1])), picks.ravel().tolist()
+                        flags = [True] * len(near)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([f"{name}/{k}" for k in near]), part.column("item").take(rows), part.column("vector").take(rows)],
-                        ["shard", "item", "vector"])
+                        [pa.array([f"{name}/{k}" for k in near]), part.column("item").take(rows), part.column("vector").take(rows), pa.array(flags, pa.bool_())],
+                        ["shard", "item", "vector", "core"])
 
-        dealt = open_.join(table, "shard").withColumn("mark", F.xxhash64("item"))
-        open_ = dealt.mapInArrow(deal, f"shard string, item {kind}, vector {numbers}")
+        dealt = open_.drop("core").join(table, "shard").withColumn("mark", F.xxhash64("item"))
+        open_ = dealt.mapInArrow(deal, f"shard string, item {kind}, vector {numbers}, core boolean")
         # A vector reaches one shard by several ways only through different parents, whose names differ.
         rounds += 1
     out = done[0]
@@ -285,8 +293,55 @@ def found_links(x: np.ndarray, near: list[np.ndarray], radius: float) -> tuple[n
     return a[sure], b[sure]
 
 
-def search(members: DataFrame, radius: float) -> DataFrame:
+def across(classes: DataFrame, members: DataFrame, united: DataFrame, links: DataFrame, radius: float) -> DataFrame:
+    """Links ``a`` < ``b`` between classes without a common shard, along united edges from the ``links`` of the shards."""
+    kind = members.schema["item"].dataType.simpleString()
+    # All pairs of blocks with one of the core are shards, so a ball counts as one place for its core.
+    place = F.xxhash64(F.regexp_replace("shard", "=[^/]*$", ""))
+    places = pin(members.groupBy("item").agg(
+        F.collect_set(F.when(F.col("core"), place)).alias("full"), F.collect_set(F.when(~F.col("core"), place)).alias("halo")
+    ))
+    named = lambda name: places.select(F.col("item").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("full", "halo")])
+    edges = united.select(F.col("item").alias("via"), F.explode("near").alias("to"))
+    edges = pin(edges.join(named("via"), "via").join(named("to"), "to"))
+    # Where each place of a row holds the row an edge leads to, so does the one by which the query found it.
+    leaving = F.size(F.array_except(F.array_union("via_full", "via_halo"), "to_full")) > 0
+    edges = edges.withColumn("leaving", leaving).drop("via_full", "via_halo")
+    met = F.expr("arrays_overlap(query_full, to_full) OR arrays_overlap(query_full, to_halo) OR arrays_overlap(query_halo, to_full)")
+    vectors = classes.select("item", "vector")
+
+    def cosines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = pc.list_value_length(batch.column("v")).to_numpy(zero_copy_only=False)
+            for n in np.unique(sizes).tolist():
+                part = batch.take(pa.array(np.flatnonzero(sizes == n)))
+                sims = np.einsum("ij,ij->i", _unit(part.column("v")), _unit(part.column("w")))
+                near = part.select(["a", "b"]).append_column("sim", pa.array(sims))
+                yield near.filter(pa.array(sims >= radius - SLACK))
+
+    both = lambda pairs: pairs.select(F.col("a").alias("query"), F.col("b").alias("via")).union(pairs.select("b", "a"))
+    frontier, out, tried, usable = both(links), None, None, edges.where("leaving")
+    while True:
+        ways = frontier.join(usable, "via").join(named("query"), "query").where("query <> to").where(~met)
+        pairs = ways.select(F.least("query", "to").alias("a"), F.greatest("query", "to").alias("b")).distinct()
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = pin(pairs)
+        rows = pairs.join(vectors.select(F.col("item").alias("a"), F.col("vector").alias("v")), "a")
+        rows = rows.join(vectors.select(F.col("item").alias("b"), F.col("vector").alias("w")), "b").select("a", "b", "v", "w")
+        close = pin(rows.mapInArrow(cosines, f"a {kind}, b {kind}, sim double"))
+        fresh = close.where(F.col("sim") >= radius).select("a", "b")
+        out = fresh if out is None else out.union(fresh)
+        if not close.limit(1).count():
+            return out
+        tried = pairs if tried is None else pin(tried.union(pairs))
+        # Rows found this way have no shard in common with the query: each of their edges may lead further.
+        frontier, usable = both(close), edges
+
+
+def search(classes: DataFrame, overlap: int, radius: float) -> DataFrame:
     """Links ``a`` < ``b`` between classes, from the shards and the united adjacency lists."""
+    members = shards(classes, overlap, radius)
     kind = members.schema["item"].dataType.simpleString()
     lists = members.groupBy("shard").applyInArrow(
         lambda g: adjacency(g.select(["item", "vector"])), f"item {kind}, near array<{kind}>"
@@ -305,7 +360,8 @@ def search(members: DataFrame, radius: float) -> DataFrame:
         return pa.table({"a": pc.min_element_wise(one, two), "b": pc.max_element_wise(one, two)})
 
     rows = members.join(united, "item", "left").select("shard", "item", "vector", "near")
-    return pin(rows.groupBy("shard").applyInArrow(run, f"a {kind}, b {kind}").distinct())
+    links = pin(rows.groupBy("shard").applyInArrow(run, f"a {kind}, b {kind}").distinct())
+    return pin(links.union(across(classes, members, united, links, radius)))
 
 
 def exact(classes: DataFrame, radius: float) -> DataFrame:
@@ -378,7 +434,7 @@ def audited(classes: DataFrame, radius: float = RADIUS) -> tuple[DataFrame, floa
     """Links between classes and their mean recall per query on the audited sample."""
     overlap, links, open_ = OVERLAP, None, classes
     while True:
-        fresh = search(shards(open_, overlap, radius), radius) if overlap <= MOST_OVERLAP else exact(open_, radius)
+        fresh = search(open_, overlap, radius) if overlap <= MOST_OVERLAP else exact(open_, radius)
         links = fresh if links is None else pin(links.union(fresh).distinct())
         found = audit(classes, links, radius)
         recall = float(np.mean([share for _, share in found])) if found else 1.0

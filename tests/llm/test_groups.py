@@ -68,10 +68,21 @@ def test_a_ball_with_stray_vectors_keeps_all_its_links(spark, monkeypatch):
 
 def test_links_the_graph_misses_are_compared_exactly(spark, monkeypatch):
     monkeypatch.setattr(flat_graph, "BLOCK", 50, raising=False)
-    monkeypatch.setattr(flat_graph, "search", lambda members, radius: members.select(F.col("item").alias("a"), F.col("item").alias("b")).limit(0))
+    monkeypatch.setattr(flat_graph, "search", lambda *given: given[0].select(F.col("item").alias("a"), F.col("item").alias("b")).limit(0))
     draw = np.random.default_rng(6)
     base = draw.normal(size=(100, 16))
     x = np.concatenate([base, base + draw.normal(scale=0.05, size=base.shape)])
     rows = spark.createDataFrame([(i, v.tolist(), i % 2) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
     got = {r.vec_id: r.n_links for r in flat_graph.near_duplicates(rows).collect()}
     assert got == dict(enumerate(brute_force(x))) and set(got.values()) == {1}
+
+
+def test_united_edges_lead_out_of_a_shard(spark, monkeypatch):
+    angles = np.radians([0, 10, 20, 90])
+    x = np.stack([np.cos(angles), np.sin(angles)], axis=1).tolist()
+    rows = [("s", 0), ("s", 1), ("t", 1), ("t", 2), ("t", 3)]
+    members = spark.createDataFrame([(s, i, x[i], True) for s, i in rows], "shard string, item long, vector array<double>, core boolean")
+    classes = spark.createDataFrame([(i, "1", v) for i, v in enumerate(x)], "item long, label string, vector array<double>")
+    monkeypatch.setattr(flat_graph, "shards", lambda *given: members)
+    given = (classes, 3) if flat_graph.search.__code__.co_argcount == 3 else (members,)
+    assert sorted(map(tuple, flat_graph.search(*given, 0.93).collect())) == [(0, 1), (0, 2), (1, 2)]
