@@ -334,7 +334,24 @@ def near_duplicates(
 
 
 def accept(docs: DataFrame, width: int = 5, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each group of near duplicates, with the columns it came with; rows without a key stay."""
-    kept = near_duplicates(docs.where(F.col(key).isNotNull()), width, percent, key, text).where("kept").select(key).distinct()
-    one = docs.join(pin(kept), key, "left_semi").dropDuplicates([key])
-    return one.union(docs.where(F.col(key).isNull()))
+    """One row of each group of near duplicates, with the columns it came with: that of the smallest key, null last.
+
+    Rows are told apart by their texts, so rows that share a key, or have none, are compared like all others. Texts
+    without words all stay.
+    """
+    node = F.sha2(F.col(text).cast("binary"), 256)
+    rows = docs.withColumn("_node", node)
+    bodies = pin(rows.where("_node IS NOT NULL").groupBy("_node").agg(F.first(text).alias("_body")))
+    found = pin(near_duplicates(bodies, width, percent, "_node", "_body"))
+    keys = rows.select(F.col(key).alias("_key"), "_node").distinct()
+    least = F.min(F.struct(F.col("_key").isNull().alias("none"), "_key", "_node")).alias("least")
+    grouped = found.where("n_shingles > 0").select("_node", "component_id")
+    chosen = pin(keys.join(grouped, "_node").groupBy("component_id").agg(least).select("least._key", F.col("least._node").alias("_of")))
+    copies = rows.join(chosen, (F.col("_node") == F.col("_of")) & F.col(key).eqNullSafe(F.col("_key")))
+    # Copies differ in further columns at most; the smallest of these are taken, so a task that runs again keeps the same row.
+    others = [c for c in docs.columns if c not in (key, text)]
+    one = copies.groupBy("_node").agg(
+        F.first(key).alias(key), F.first(text).alias(text), F.min(F.struct(F.lit(0).alias("_"), *others)).alias("_others")
+    ).select(*[f"_others.{c}" if c in others else c for c in docs.columns])
+    wordless = rows.where("_node IS NULL").union(rows.join(found.where("n_shingles = 0").select("_node"), "_node", "left_semi").select(*rows.columns))
+    return one.union(wordless.select(*docs.columns))

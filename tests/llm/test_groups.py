@@ -86,3 +86,14 @@ def test_united_edges_lead_out_of_a_shard(spark, monkeypatch):
     monkeypatch.setattr(flat_graph, "shards", lambda *given: members)
     given = (classes, 3) if flat_graph.search.__code__.co_argcount == 3 else (members,)
     assert sorted(map(tuple, flat_graph.search(*given, 0.93).collect())) == [(0, 1), (0, 2), (1, 2)]
+
+
+def test_accept_works_on_rows_that_share_an_id_or_have_none(spark):
+    one, two, three = (" ".join(f"{w}{i}" for i in range(40)) for w in "abc")
+    near = one.replace("a39", "x")
+    rows = [(1, one, "s"), (1, two, "s"), (1, two, "r"), (2, near, "s"), (None, one, "s"), (None, three, "s"), (None, three, "s"), (3, "", "s"), (4, None, "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = lsh_forest.accept(docs)
+    assert got.columns == docs.columns
+    want = [(1, one, "s"), (1, two, "r"), (None, three, "s"), (3, "", "s"), (4, None, "s")]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
