@@ -8,8 +8,8 @@ candidate clusters: a pair of similarity 0.8 shares one with probability 1 - (1
 
 The depth adapts to the region. A cluster of up to ``REGION`` classes is compared as a whole, without classes whose
 signature agrees with no other in ``LEAST`` of its values (a pair of similarity 0.8 stays below with a probability
-under 1e-6). A larger one is cut into its regions of ``DEPTH`` equal values in each tree (0.998 for a pair of
-similarity 0.8, and a class has many links there), in two rounds. The first compares, in ``FIRST`` trees, each class
+under 1e-6). A larger one is cut into its regions of ``SHALLOW`` equal values in each tree, so a pair meets in a
+region as surely as it shares a cluster, in two rounds. The first compares, in ``FIRST`` trees, each class
 within its block of at most about ``REGION``. The second compares the regions of all trees that still hold more
 than one component, every block with every block; classes already connected need no further link. All comparisons
 are exact, on the full sets, and give a spanning forest of the confirmed links, from which components are found.
@@ -83,7 +83,8 @@ def signature(shingles: np.ndarray) -> np.ndarray:
         part = np.multiply.outer(MULTIPLIERS, shingles[at : at + CHUNK])
         part += OFFSETS[:, None]
         np.minimum(out, part.min(axis=1), out=out)
-    return (out >> np.uint64(48)).astype(np.uint16)
+    # The high bits of the minimum of a large set are all zeros, so bits of its mixture are kept.
+    return (_mixed(out) & np.uint64(0xFFFF)).astype(np.uint16)
 
 
 def signatures(docs: DataFrame, width: int, key: str, text: str) -> DataFrame:
@@ -202,7 +203,7 @@ def compared(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     small = clusters.where(F.col("n") <= REGION).select(F.concat(F.lit("c"), F.col("component").cast("string")).alias("task"), "item")
     small = similar(small.join(classes.select("item", "signature"), "item"))
     large = pin(clusters.where(F.col("n") > REGION).select("item"))
-    regions = pin(orders(classes.join(large, "item", "left_semi")).select("item", "tree", F.concat_ws(".", "tree", *VALUES).alias("region")))
+    regions = pin(orders(classes.join(large, "item", "left_semi")).select("item", "tree", F.concat_ws(".", "tree", *VALUES[:SHALLOW]).alias("region")))
     own = blocks(regions.where(F.col("tree") < FIRST))
     first = own.select(F.concat_ws("/", F.concat(F.lit("r"), F.col("region")), "block").alias("task"), "item")
     return pin(small.union(first)), regions.select("item", "region")

@@ -97,3 +97,18 @@ def test_accept_works_on_rows_that_share_an_id_or_have_none(spark):
     assert got.columns == docs.columns
     want = [(1, one, "s"), (1, two, "r"), (None, three, "s"), (3, "", "s"), (4, None, "s")]
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+
+
+def test_signatures_of_large_unrelated_sets_differ():
+    draw = np.random.default_rng(7)
+    one, two = (lsh_forest.signature(draw.integers(0, 2**63, 20_000, np.uint64) * np.uint64(2)) for _ in range(2))
+    assert (one == two).sum() <= 1
+
+
+def test_large_clusters_keep_regions_of_shallow_values(spark, monkeypatch):
+    monkeypatch.setattr(lsh_forest, "REGION", 2)
+    x = np.random.default_rng(8).integers(0, 2**16, (4, lsh_forest.TREES, lsh_forest.DEPTH)).astype(np.uint16)
+    x[:, 0, : lsh_forest.SHALLOW] = 5
+    rows = [(i, bytearray(v.tobytes())) for i, v in enumerate(x)]
+    _, regions = lsh_forest.compared(spark.createDataFrame(rows, "item long, signature binary"))
+    assert regions.groupBy("region").count().where("count = 4").count() == 1
