@@ -2,8 +2,9 @@
 
 Explicit rules name a host and a path prefix and hold for the host and its subdomains; the longest
 fitting one decides. For other URLs, FP-growth mines combinations of URL tokens that go with labels of
-unwanted documents. A combination is a rule if its support (a share of the labelled URLs, and ``MIN_PAGES`` of
-them) and its confidence reach the thresholds and no part of it is as confident. Rules are matched by an inverted index from token to rule: a rule fits a
+unwanted documents. A combination is a rule if at least ``MIN_PAGES`` unwanted labelled URLs hold it, however
+many are labelled, its confidence reaches the threshold and no part of it is as confident. Tokens that fewer unwanted
+URLs hold cannot be in a rule and are dropped before. Rules are matched by an inverted index from token to rule: a rule fits a
 URL if as many of its tokens are met as it has. A URL that no rule fits is allowed.
 
 Defined cases: a null URL or one without ``://`` has an empty host and path, no token and the verdict
@@ -27,7 +28,6 @@ URL_RULES = [
     ("com/fr/", "allow"),
     ("com/de/", "block"),
 ]
-MIN_SUPPORT = 0.005
 MIN_PAGES = 20
 MIN_CONFIDENCE = 0.9
 BAD = "verdict:block"
@@ -60,7 +60,7 @@ def explicit(rules: list[tuple[str, str]]) -> tuple[Column, Column]:
 
 def mined(
     rows: DataFrame, labels: DataFrame, key: str = "page_id",
-    min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
+    min_pages: int = MIN_PAGES, min_confidence: float = MIN_CONFIDENCE,
 ) -> DataFrame:
     """Rules mined from all labelled URLs: ``rule`` (sorted tokens), ``confidence``, ``support``.
 
@@ -70,19 +70,26 @@ def mined(
     bad = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
         F.max(F.when((F.col("toxic") == 1) | (F.col("quality") == 0), 1).otherwise(0)).alias("bad")
     )
-    baskets = (
-        rows.where(F.size("tokens") > 0)
-        .join(bad, F.col(key) == F.col("doc_id"))
+    labelled = pin(
+        rows.where(F.size("tokens") > 0).join(bad, F.col(key) == F.col("doc_id"))
+        .select(F.monotonically_increasing_id().alias("basket"), "tokens", "bad")
+    )
+    total = labelled.count()
+    held = labelled.select("basket", "bad", F.explode("tokens").alias("token"))
+    frequent = pin(held.where("bad = 1").groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages).select("token"))
+    baskets = pin(
+        held.join(frequent, "token").groupBy("basket", "bad").agg(F.collect_list("token").alias("tokens"))
         .select(F.when(F.col("bad") == 1, F.array_append("tokens", F.lit(BAD))).otherwise(F.col("tokens")).alias("items"))
     )
-    baskets = pin(baskets)
-    support = max(min_support, MIN_PAGES / max(baskets.count(), 1))
+    # Half a page less, so that rounding does not ask for one more.
+    n = baskets.count()
+    support = (min_pages - 0.5) / max(n, 1)
     model = FPGrowth(
         itemsCol="items", minSupport=min(support, 1.0), minConfidence=min_confidence,
         numPartitions=max(1, baskets.rdd.getNumPartitions()),
     ).fit(baskets)
     found = model.associationRules.where((F.element_at("consequent", 1) == BAD) & (F.lit(support) <= 1)).select(
-        F.sort_array("antecedent").alias("rule"), "confidence", "support"
+        F.sort_array("antecedent").alias("rule"), "confidence", (F.col("support") * n / max(total, 1)).alias("support")
     )
     found = pin(found)
     # A rule with a part that is as confident adds nothing: drop one token at a time and look the rest up.
@@ -107,13 +114,13 @@ def matched(rows: DataFrame, rules: DataFrame) -> DataFrame:
 
 def judge(
     pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str]] | None = None, key: str = "page_id", url: str = "url",
-    min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
+    min_pages: int = MIN_PAGES, min_confidence: float = MIN_CONFIDENCE,
 ) -> DataFrame:
     """Per row: key, host, path, ``rule`` (explicit, or null), ``verdict``, ``confidence`` of the mined rule."""
     rows = parsed(pages, key, url)
     rule, says = explicit(URL_RULES if rules is None else rules)
     rows = rows.withColumn("id", F.coalesce(F.col(key).cast("string"), F.lit(""))).withColumn("mark", F.xxhash64("host", "path"))
-    found = matched(rows, mined(rows, labels, key, min_support, min_confidence))
+    found = matched(rows, mined(rows, labels, key, min_pages, min_confidence))
     return (
         rows.join(found, ["id", "mark"], "left")
         .withColumn("rule", rule)

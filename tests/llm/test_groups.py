@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from floorlens.llm import flat_graph, lsh_forest
+from floorlens.llm import flat_graph, lsh_forest, url_rules
 
 SF = "/root/testdata/sf0.001"
 
@@ -112,3 +112,11 @@ def test_large_clusters_keep_regions_of_shallow_values(spark, monkeypatch):
     rows = [(i, bytearray(v.tobytes())) for i, v in enumerate(x)]
     _, regions = lsh_forest.compared(spark.createDataFrame(rows, "item long, signature binary"))
     assert regions.groupBy("region").count().where("count = 4").count() == 1
+
+
+def test_a_rule_needs_a_number_of_pages_not_a_share(spark):
+    urls = [f"http://spam.net/win/{i}" for i in range(20)] + [f"http://fine{i % 50}.net/a/{i}" for i in range(6000)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(i >= 20), 0) for i in range(len(urls))], "doc_id long, quality int, toxic int")
+    got = url_rules.judge(pages, labels).groupBy("verdict").count().collect()
+    assert {r["verdict"]: r["count"] for r in got} == {"block": 20, "allow": 6000}
