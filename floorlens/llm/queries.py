@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from floorlens.llm import arc, byte_bpe, crf, flat_graph, interleave, lsh_forest, packing, ppm, quality, sql, url_rules
+from floorlens.llm import (
+    arc, byte_bpe, crf, curve_clusters, flat_graph, interleave, lsh_forest, packing, piece_bpe, ppm, prefix_trie, quality, sql, url_rules,
+)
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -78,6 +80,27 @@ def near_duplicate_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_graph.near_duplicates(_read(spark, sf_dir, "embeddings"))
 
 
+def sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(piece_bpe.MODEL)
+    rows = piece_bpe.decode(piece_bpe.encode(_read(spark, sf_dir, "documents"), path), path)
+    return rows.select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = curve_clusters.with_inertia(*curve_clusters.clustered(_read(spark, sf_dir, "embeddings")))
+    return rows.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def conversation_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.placed(prefix_trie.turn_ids(_read(spark, sf_dir, "conversations")))
+    return prefix_trie.trie(*prefix_trie.rebuilt(turns)).drop("k1", "k2", "q1", "q2")
+
+
 LLM_QUERIES = {
     "op1_byte_bpe": byte_bpe_codes,
     "op2_packing": packed_sequences,
@@ -89,6 +112,15 @@ LLM_QUERIES = {
     "op8_sharding": mixture_shards,
     "op9_minhash_dedup": near_duplicate_documents,
     "op10_lm_scores": partial_matching_scores,
+    "op11_sentencepiece": sentence_pieces,
+    "op12_centroid_clusters": centroid_clusters,
+    "op13_prefix_trie": conversation_prefixes,
 }
 
-LLM_SQL = {"op3_arc_to_warc": sql.PAGES, "op4_quality_rules": sql.QUALITY, "op8_sharding": sql.SHARDED}
+LLM_SQL = {
+    "op3_arc_to_warc": sql.PAGES,
+    "op4_quality_rules": sql.QUALITY,
+    "op8_sharding": sql.SHARDED,
+    "op12_centroid_clusters": sql.CLUSTERED,
+    "op13_prefix_trie": sql.PREFIXES,
+}
