@@ -2,13 +2,13 @@
 
 A merge-type vocabulary joins, again and again, the adjacent pair of symbols whose joined string has the best
 score, the leftmost one on a tie. The candidates wait in an agenda ordered by score and place; a candidate one of
-whose symbols has been joined meanwhile is stale and passed over, a join offers its two new neighbours. Characters
+whose symbols has been joined meanwhile is stale and passed over, a join offers the pairs with its two neighbours. Characters
 outside the vocabulary become their UTF-8 bytes.
 
 A blank is written as the mark U+2581, and one is put before the text. No joined string has the mark behind
-another character, so no join crosses the border before a run of marks: a text is cut there, each distinct
-segment goes through the agenda once for each worker (``words.Memo``), and is checked against the sentencepiece
-library in the same Arrow batch. A difference, or a vocabulary of another kind, is an error. Decoding is that of
+another character, so no join crosses the border before a run of marks, nor a pair of characters that no piece holds: a text is
+cut there, each distinct part goes through the agenda once for each worker (``words.Memo``), and each distinct segment
+is checked against the sentencepiece library in the same Arrow batch. A difference, or a vocabulary of another kind, is an error. Decoding is that of
 the library.
 
 Defined cases: a null text counts as empty; an empty text has the begin and end ids alone and decodes to
@@ -18,9 +18,9 @@ columns make no difference. Memory follows the longest text: 4 MB of text are co
 
 from __future__ import annotations
 
-import heapq
 import re
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 from itertools import chain
 
 import numpy as np
@@ -36,8 +36,12 @@ from floorlens.llm.words import Memo, coded, gather, stretches, strings, text_ba
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 IDS = 1 << 19
-CACHED = 200_000
+SEGMENTS, PARTS = 200_000, 600_000
+#: An entry of the agenda is one number: the place of the score above, the symbol's place below.
+PLACES = 40
+LAST = (1 << PLACES) - 1
 SEGMENT = re.compile(" +[^ ]*")
+LETTER = r"[^\W\d_]"
 
 
 class Pieces:
@@ -62,51 +66,81 @@ class Pieces:
         self.bytes = [next(i for i, p in enumerate(model.pieces) if p.type == byte and p.piece == f"<0x{b:02X}>") for b in range(256)]
         self.library = sentencepiece.SentencePieceProcessor(model_proto=model.SerializeToString())
         self.begin, self.end = self.library.bos_id(), self.library.eos_id()
-        self.memo = Memo(self._learn, CACHED)
+        self.cut = self._cuts()
+        self.memo, self.parts = Memo(self._learn, SEGMENTS), Memo(self._merge, PARTS)
+
+    def _cuts(self) -> re.Pattern:
+        """Matches where no piece crosses: behind a letter before a sign that follows no letter within any
+        piece, and behind a sign that is in no longer piece at all."""
+        inner = {p[i : i + 2] for p in self.order for i in range(len(p) - 1)}
+        behind = {b for a, b in inner if re.match(LETTER, a)}
+        signs = [c for c in map(chr, range(128)) if not c.isalnum() and c not in " _"]
+        stops = "".join(re.escape(c) for c in signs if c not in behind)
+        alone = "".join(re.escape(c) for c in signs if c not in set("".join(inner)))
+        found = [f"(?<={LETTER})(?=[{stops}])"] * bool(stops) + [f"(?<=[{alone}])"] * bool(alone)
+        return re.compile("|".join(found) or r"(?!)")
 
     def merge(self, segment: str) -> list[int]:
         """Ids of one segment, blanks written as marks."""
-        order, symbols = self.order, list(segment)
+        rank, symbols = self.order.get, list(segment)
         n = len(symbols)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        agenda = [
-            (order[joined], i, joined) for i, joined in enumerate(map(str.__add__, symbols, symbols[1:])) if joined in order
-        ]
-        heapq.heapify(agenda)
+        # The score's place of the pair that now begins at each symbol; an entry of the agenda that tells another is stale.
+        pending = [rank(a + b, -1) for a, b in zip(symbols, symbols[1:])]
+        pending.append(-1)
+        agenda = [place << PLACES | i for i, place in enumerate(pending) if place >= 0]
+        heapify(agenda)
         while agenda:
-            _, i, joined = heapq.heappop(agenda)
-            one, j = symbols[i], after[i]
-            if one is None or j >= n or one + symbols[j] != joined:
+            entry = heappop(agenda)
+            i = entry & LAST
+            if pending[i] != entry >> PLACES:
                 continue
-            symbols[i], symbols[j] = joined, None
-            k = after[i] = after[j]
+            j = after[i]
+            joined = symbols[i] + symbols[j]
+            symbols[i], symbols[j], pending[j] = joined, None, -1
+            after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                if (wider := joined + symbols[k]) in order:
-                    heapq.heappush(agenda, (order[wider], i, wider))
+                pending[i] = place = rank(joined + symbols[k], -1)
+                if place >= 0:
+                    heappush(agenda, place << PLACES | i)
+            else:
+                pending[i] = -1
             h = before[i]
-            if h >= 0 and (wider := symbols[h] + joined) in order:
-                heapq.heappush(agenda, (order[wider], h, wider))
+            if h >= 0:
+                pending[h] = place = rank(symbols[h] + joined, -1)
+                if place >= 0:
+                    heappush(agenda, place << PLACES | h)
         out: list[int] = []
-        for symbol in symbols:
-            if symbol is not None:
-                own = self.ids.get(symbol)
-                if own is None:
-                    out.extend(self.bytes[b] for b in symbol.encode())
-                else:
-                    out.append(own)
+        i, known = 0, self.ids.get
+        while i < n:
+            own = known(symbols[i])
+            if own is None:
+                out.extend([self.bytes[b] for b in symbols[i].encode()])
+            else:
+                out.append(own)
+            i = after[i]
         return out
 
-    def _learn(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Sizes and joined ids of new segments, each checked against the library."""
-        found = [self.merge(s.replace(" ", MARK)) for s in segments]
-        for segment, own, theirs in zip(segments, found, self.library.encode([s[1:] for s in segments])):
-            # The library puts no mark before an empty text, so a lone blank has no counterpart there.
-            if own != theirs and segment != " ":
-                raise RuntimeError(f"the agenda and the library differ at {segment!r}")
+    def _merge(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [self.merge(p.replace(" ", MARK)) for p in parts]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         return sizes, np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))
 
+    def _learn(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes and joined ids of new segments, each checked against the library."""
+        cut = [list(filter(None, self.cut.split(s))) for s in segments]
+        ends, ids = self.parts.runs(self.parts.places(list(chain.from_iterable(cut))))
+        bounds = np.concatenate([[0], ends])[np.cumsum([0, *map(len, cut)])]
+        theirs = self.library.encode([s[1:] for s in segments], num_threads=1)
+        # The library puts no mark before an empty text, so a lone blank has no counterpart there.
+        known = [t if s != " " else self.merge(MARK) for s, t in zip(segments, theirs)]
+        sizes = np.diff(bounds)
+        if list(map(len, known)) != sizes.tolist() or not np.array_equal(np.fromiter(chain.from_iterable(known), np.int32), ids):
+            off = next(s for s, t, a, b in zip(segments, known, bounds, bounds[1:]) if ids[a:b].tolist() != t)
+            raise RuntimeError(f"the agenda and the library differ at {off!r}")
+        return sizes, ids
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Offsets per text and the ids of all texts, with begin and end.
 
@@ -172,7 +206,7 @@ def decode(rows: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
             for start, stop in stretches(sizes, IDS):
                 batch = whole.slice(start, stop - start)
                 ids = [np.frombuffer(b or b"", "<u4").tolist() for b in batch.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(library.decode(ids), pa.string())], [key, "ids", "decoded"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(library.decode(ids, num_threads=1), pa.string())], [key, "ids", "decoded"])
 
     rows = rows.select(key, "ids")
     kind = rows.schema[key].dataType.simpleString()
