@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from floorlens.ml.boosting import HuberBoosting
 from floorlens.ml.datasets import numeric
+from floorlens.session import pin
 
 SEED = 42
 
@@ -34,16 +37,17 @@ WEEKLY_FOREST = Forest(600, 12, 3)
 
 @dataclass(frozen=True)
 class Boosting:
-    """Rounds, step, depth and smallest leaf of each published boosting model."""
+    """Rounds, step, depth, smallest leaf and smallest split of each published boosting model."""
 
     rounds: int
     step: float
     depth: int
     leaf: int
+    split: int
 
 
-DAILY_BOOSTING = Boosting(300, 0.03, 3, 4)
-WEEKLY_BOOSTING = Boosting(300, 0.025, 2, 4)
+DAILY_BOOSTING = Boosting(300, 0.03, 3, 4, 8)
+WEEKLY_BOOSTING = Boosting(300, 0.025, 2, 4, 8)
 
 
 def most_frequent(df: DataFrame, columns: list[str]) -> dict[str, str]:
@@ -106,18 +110,46 @@ def forest_classifier(label: str, size: Forest) -> RandomForestClassifier:
     )
 
 
-def forest_regressor(label: str, size: Forest) -> RandomForestRegressor:
-    return RandomForestRegressor(
-        labelCol=label, featuresCol="features", numTrees=size.trees, maxDepth=size.depth,
-        minInstancesPerNode=size.leaf, featureSubsetStrategy="sqrt", seed=SEED, maxMemoryInMB=512,
+class ForestInParts(Estimator):
+    """A forest fitted ``at_once`` trees at a time, some parts side by side.
+
+    A level of all trees of a large, deep forest would go out with every task; a part's level stays small. The
+    parts draw their rows by different seeds and count alike, so their mean is the forest's prediction.
+    """
+
+    def __init__(self, part: RandomForestRegressor, trees: int, at_once: int = 25, side_by_side: int = 4):
+        super().__init__()
+        self.part, self.side_by_side = part, side_by_side
+        self.sizes = [min(at_once, trees - low) for low in range(0, trees, at_once)]
+
+    def _fit(self, dataset: DataFrame) -> PipelineModel:
+        rows = pin(dataset.select(self.part.getFeaturesCol(), self.part.getLabelCol()))
+        names = [f"_part_{i}" for i in range(len(self.sizes))]
+        parts = [
+            self.part.copy({self.part.numTrees: n, self.part.seed: SEED + i, self.part.predictionCol: name})
+            for i, (n, name) in enumerate(zip(self.sizes, names))
+        ]
+        with ThreadPool(self.side_by_side) as pool:
+            models = pool.map(lambda estimator: estimator.fit(rows), parts, chunksize=1)
+        mean = " + ".join(f"{name} * {n}" for name, n in zip(names, self.sizes))
+        output = self.part.getPredictionCol()
+        together = SQLTransformer(
+            statement=f"SELECT * EXCEPT ({', '.join(names)}), ({mean}) / {sum(self.sizes)} AS {output} FROM __THIS__"
+        )
+        return PipelineModel([*models, together])
+
+
+def forest_regressor(label: str, size: Forest) -> ForestInParts:
+    part = RandomForestRegressor(
+        labelCol=label, featuresCol="features", maxDepth=size.depth, minInstancesPerNode=size.leaf,
+        featureSubsetStrategy="sqrt", maxMemoryInMB=512,
     )
+    return ForestInParts(part, size.trees)
 
 
-def boosting_regressor(label: str, size: Boosting) -> GBTRegressor:
-    """Absolute loss stands in for Huber, which MLlib lacks; both resist outliers."""
-    return GBTRegressor(
-        labelCol=label, featuresCol="features", maxIter=size.rounds, stepSize=size.step, maxDepth=size.depth,
-        minInstancesPerNode=size.leaf, lossType="absolute", seed=SEED,
+def boosting_regressor(label: str, size: Boosting) -> HuberBoosting:
+    return HuberBoosting(
+        labelCol=label, featuresCol="features", rounds=size.rounds, step=size.step, depth=size.depth, leaf=size.leaf, split=size.split,
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
@@ -162,9 +163,10 @@ def train_forecast(
         FOREST_REGRESSOR: pipelines.forest_regressor(spec.target, forest),
         BOOSTING_REGRESSOR: pipelines.boosting_regressor(spec.target, boosting),
     }
-    models, columns = {}, {baseline_name: baseline}
-    for i, (name, estimator) in enumerate(estimators.items()):
-        models[name] = pipelines.fit(train, numbers, categories, estimator)
+    with ThreadPool(len(estimators)) as pool:
+        fitted = pool.map(lambda estimator: pipelines.fit(train, numbers, categories, estimator), estimators.values(), chunksize=1)
+    models, columns = dict(zip(estimators, fitted)), {baseline_name: baseline}
+    for i, name in enumerate(models):
         columns[name] = f"prediction_{i}"
         scored = pipelines.prediction(models[name], scored, columns[name])
     scored = pin(scored)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,7 +23,21 @@ def build_session(app: str = "floorlens", master: str | None = None, **conf: str
     }
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship(builder.getOrCreate())
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Send the package to the Python workers, once a session, so that they import it wherever they start."""
+    context = spark.sparkContext
+    if not getattr(context, "_floorlens_shipped", False):
+        package = Path(__file__).resolve().parent
+        archive = Path(tempfile.mkdtemp(prefix="floorlens-code-")) / "floorlens.zip"
+        with zipfile.ZipFile(archive, "w") as held:
+            for source in sorted(package.rglob("*.py")):
+                held.write(source, source.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        context._floorlens_shipped = True
+    return spark
 
 
 def shared_folder(spark: SparkSession) -> str:
