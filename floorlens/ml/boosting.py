@@ -33,15 +33,15 @@ from pyspark.rdd import RDD
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from floorlens.ml.passes import combined, dealt
 from floorlens.session import pin
 
 UNIT = 1 << 26
 ROWS = 1 << 16
 BRACKETS = 2048
 REBASE = 50
-#: Blocks whose predictions a worker keeps, and partitions whose sums are combined without a step between.
-KEPT, FLAT = 64, 64
-TASK_ROWS = 1 << 14
+#: Blocks whose predictions a worker keeps.
+KEPT = 64
 
 
 def thresholds(rows: DataFrame, width: int, bins: int) -> list[list[float]]:
@@ -74,11 +74,6 @@ def blocks(rows: DataFrame, borders: list[list[float]]) -> DataFrame:
     return pin(rows.select("x", "y").mapInArrow(run, "name string, codes binary, y binary, base binary"))
 
 
-def _dealt(table: DataFrame, rows: int) -> RDD:
-    """The blocks, with at least ``TASK_ROWS`` rows a task as far as there are as many."""
-    return table.coalesce(max(1, -(-rows // TASK_ROWS))).rdd.persist()
-
-
 class Tree:
     """A binary tree in heap order: split feature (-1: leaf), last code to the left, gain and value by node."""
 
@@ -121,17 +116,7 @@ def _predicted(block: tuple, trees: list[Tree], step: float) -> np.ndarray:
 
 
 def _passed(data: RDD, make: Callable[[tuple], list[np.ndarray]], joins: list[Callable]) -> list[np.ndarray]:
-    """``make`` of all blocks, combined array by array."""
-    joined = lambda a, b: [join(x, y) for join, x, y in zip(joins, a, b)]
-
-    def partial(rows):
-        out = None
-        for row in rows:
-            own = make(_block(row))
-            out = own if out is None else joined(out, own)
-        return iter([] if out is None else [out])
-
-    return data.mapPartitions(partial).treeReduce(joined, depth=1 if data.getNumPartitions() <= FLAT else 2)
+    return combined(data, lambda row: make(_block(row)), joins)
 
 
 def _counted(values: np.ndarray, groups: np.ndarray, brackets: np.ndarray) -> list[np.ndarray]:
@@ -273,7 +258,7 @@ def boost(rows: DataFrame, borders: list[list[float]], rounds: int, step: float,
     """Start value and trees, from rows ``x`` (array) and ``y``."""
     offsets = np.cumsum([0, *[len(b) + 1 for b in borders]])
     table, size = blocks(rows, borders), rows.count()
-    data = _dealt(table, size)
+    data = dealt(table, size)
     everyone = lambda b, v: (v, np.zeros(len(v), np.int64))
     start = select(data, lambda b: everyone(b, b[1]), 0.5, np.array([[0.0, 0.0]]))[0]
     if np.isnan(start):
@@ -298,7 +283,7 @@ def boost(rows: DataFrame, borders: list[list[float]], rounds: int, step: float,
 def _rebased(data: RDD, table: DataFrame, trees: list[Tree], step: float, size: int) -> RDD:
     """The blocks with what the trees add, written out."""
     moved = data.map(lambda r: (uuid.uuid4().hex, bytes(r["codes"]), bytes(r["y"]), _predicted(_block(r), trees, step).tobytes()))
-    out = _dealt(pin(table.sparkSession.createDataFrame(moved, table.schema)), size)
+    out = dealt(pin(table.sparkSession.createDataFrame(moved, table.schema)), size)
     data.unpersist()
     return out
 
