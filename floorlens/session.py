@@ -56,4 +56,14 @@ def pin(df: DataFrame) -> DataFrame:
     and only the columns it needs."""
     path = f"{shared_folder(df.sparkSession)}/pin-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    pinned = df.sparkSession.read.schema(df.schema).parquet(path)
+    pinned._pinned_at = path
+    return pinned
+
+
+def unpin(*frames: DataFrame) -> None:
+    """Delete what ``pin`` wrote for frames that nothing reads any more."""
+    for df in frames:
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(df._pinned_at)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
