@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from floorlens.session import pin
+from floorlens.session import pin, unpin
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -26,7 +26,10 @@ def components(edges: DataFrame) -> DataFrame:
             heard.union(own).groupBy("node").agg(F.min("label").alias("label"), F.min(F.when(F.col("own"), F.col("label"))).alias("before"))
         )
         above = hooked.select(F.col("node").alias("label"), F.col("label").alias("above"))
-        labels = pin(hooked.join(above, "label").select("node", F.col("above").alias("label"), "before"))
-        if labels.where("label <> before").limit(1).count() == 0:
-            return labels.select("node", F.col("label").alias("component"))
-        labels = labels.select("node", "label")
+        moved = pin(hooked.join(above, "label").select("node", F.col("above").alias("label"), "before"))
+        settled = moved.where("label <> before").limit(1).count() == 0
+        unpin(hooked, labels)
+        if settled:
+            unpin(both)
+            return moved.select("node", F.col("label").alias("component"))
+        labels = moved

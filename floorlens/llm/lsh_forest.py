@@ -1,7 +1,7 @@
 """Near-duplicate documents by an LSH forest over MinHash signatures, confirmed on full sets.
 
 A document's set are the hashes of its distinct shingles of ``width`` words. Documents with equal sets are one
-class, whose smallest id stands for it. A forest of ``TREES`` trees orders the classes by ``DEPTH`` signature
+class, whatever their ids. A forest of ``TREES`` trees orders the classes by ``DEPTH`` signature
 values each, and every order is sorted across the cluster by complete sort positions, so no prefix, however
 common, lies in one task. Neighbours in an order that share a prefix of ``SHALLOW`` values are joined into
 candidate clusters: a pair of similarity 0.8 shares one with probability 1 - (1 - 0.8^4)^20 > 0.9999.
@@ -10,15 +10,16 @@ The depth adapts to the region. A cluster of up to ``REGION`` classes is compare
 signature agrees with no other in ``LEAST`` of its values (a pair of similarity 0.8 stays below with a probability
 under 1e-6). A larger one is cut into its regions of ``SHALLOW`` equal values in each tree, so a pair meets in a
 region as surely as it shares a cluster, in two rounds. The first compares, in ``FIRST`` trees, each class
-within its block of at most about ``REGION``. The second compares the regions of all trees that still hold more
-than one component, every block with every block; classes already connected need no further link. All comparisons
-are exact, on the full sets, and give a spanning forest of the confirmed links, from which components are found.
+within its block of at most about ``REGION``. The second compares, in the regions of all trees that still hold more
+than one component, the classes outside the largest component with all others whose signature is like theirs; classes
+already connected need no further link. All comparisons are exact, on the full sets, and give a spanning forest of
+the confirmed links, from which components are found.
 
 The plan is the same at every size: texts are read once more, in one sort-merge join with the classes to compare.
 
 Defined cases: a text without words, or null, has an empty set and is linked with nothing; a shorter text than
 ``width`` words has its whole sequence as its one shingle; a null id is linked with nothing and kept; rows that
-share an id are one node; an empty table gives no rows. Further columns are not read.
+share an id are one node with all their sets; an empty table gives no rows. Further columns are not read.
 """
 
 from __future__ import annotations
@@ -28,12 +29,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from floorlens.llm.components import components
 from floorlens.llm.words import Memo, strings, text_batches, words_of
-from floorlens.session import pin
+from floorlens.session import pin, unpin
 
 TREES, DEPTH, SHALLOW = 20, 6, 4
 REGION = 128
@@ -87,10 +88,10 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return (_mixed(out) & np.uint64(0xFFFF)).astype(np.uint16)
 
 
-def signatures(docs: DataFrame, width: int, key: str, text: str) -> DataFrame:
-    """Per row: ``item``, ``n_shingles``, ``mark`` (of the set) and ``signature``; nulls for an empty set."""
-    rows = docs.select(F.col(key).alias("item"), F.col(text).alias("body"))
-    kind = rows.schema["item"].dataType.simpleString()
+def signatures(rows: DataFrame, width: int) -> DataFrame:
+    """The columns beside ``body``, ``n_shingles``, ``mark`` (of the set) and ``signature``; nulls for an empty set."""
+    carried = [c for c in rows.columns if c != "body"]
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "body")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Memo(_hash_words)
@@ -102,10 +103,10 @@ def signatures(docs: DataFrame, width: int, key: str, text: str) -> DataFrame:
                     marks.append(xxhash.xxh3_128_digest(own.tobytes()) if len(own) else None)
                     rows.append(signature(own).tobytes() if len(own) else None)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(sizes, pa.int64()), pa.array(marks, pa.binary()), pa.array(rows, pa.binary())],
-                    ["item", "n_shingles", "mark", "signature"])
+                    [*[part.column(c) for c in carried], pa.array(sizes, pa.int64()), pa.array(marks, pa.binary()), pa.array(rows, pa.binary())],
+                    [*carried, "n_shingles", "mark", "signature"])
 
-    return rows.mapInArrow(run, f"item {kind}, n_shingles long, mark binary, signature binary")
+    return rows.mapInArrow(run, f"{kinds}, n_shingles long, mark binary, signature binary")
 
 
 VALUES = [f"v{i}" for i in range(DEPTH)]
@@ -177,36 +178,39 @@ def neighbours(rows: DataFrame) -> DataFrame:
     return found.where("tree IS NULL").select("a", "b").union(edges.where("equal AND a <> b").select("a", "b"))
 
 
-def similar(clusters: DataFrame) -> DataFrame:
-    """``task`` and ``item``: the members of small clusters whose signature is like that of another one."""
+def similar(tasks: DataFrame) -> DataFrame:
+    """``task`` and ``item``: the members of tasks whose ``signature`` is like that of a member of another ``component``."""
 
     def run(group: pa.Table) -> pa.Table:
         x = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint16).reshape(group.num_rows, -1)
+        side = group.column("component").to_numpy()
         near = np.zeros(len(x), bool)
         for i in range(len(x)):
-            hit = (x[i] == x).mean(axis=1) >= LEAST
-            hit[i] = False
+            hit = ((x[i] == x).mean(axis=1) >= LEAST) & (side != side[i])
             near |= hit
             near[i] |= hit.any()
         return group.select(["task", "item"]).filter(pa.array(near))
 
-    kind = clusters.schema["item"].dataType.simpleString()
-    return clusters.groupBy("task").applyInArrow(run, f"task string, item {kind}")
+    rows = tasks.select("task", "item", "component", "signature")
+    return rows.groupBy("task").applyInArrow(run, "task string, item long")
 
 
 def compared(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``task`` and ``item``: which classes are compared with each other first, and ``item`` and ``region`` of large clusters."""
     rows = orders(classes)
-    clusters = pin(components(pin(neighbours(rows))))
+    links_ = pin(neighbours(rows))
+    clusters = components(links_)
     sizes = pin(clusters.groupBy("component").agg(F.count("*").alias("n")))
     clusters = clusters.join(sizes, "component").withColumnRenamed("node", "item")
     small = clusters.where(F.col("n") <= REGION).select(F.concat(F.lit("c"), F.col("component").cast("string")).alias("task"), "item")
-    small = similar(small.join(classes.select("item", "signature"), "item"))
+    small = similar(small.withColumn("component", F.col("item")).join(classes.select("item", "signature"), "item"))
     large = pin(clusters.where(F.col("n") > REGION).select("item"))
     regions = pin(orders(classes.join(large, "item", "left_semi")).select("item", "tree", F.concat_ws(".", "tree", *VALUES[:SHALLOW]).alias("region")))
     own = blocks(regions.where(F.col("tree") < FIRST))
     first = own.select(F.concat_ws("/", F.concat(F.lit("r"), F.col("region")), "block").alias("task"), "item")
-    return pin(small.union(first)), regions.select("item", "region")
+    tasks = pin(small.union(first))
+    unpin(links_, sizes, large)
+    return tasks, regions.select("item", "region")
 
 
 def blocks(regions: DataFrame) -> DataFrame:
@@ -216,23 +220,34 @@ def blocks(regions: DataFrame) -> DataFrame:
     return out.withColumn("block", F.pmod(F.xxhash64("item"), F.col("blocks")))
 
 
-def still_open(regions: DataFrame, found: DataFrame) -> DataFrame:
-    """``task`` and ``item`` of the regions that hold more than one component."""
+def still_open(regions: DataFrame, found: DataFrame, classes: DataFrame) -> DataFrame:
+    """``task`` and ``item``: what is still to compare in the regions that hold more than one component.
+
+    The largest component of a region is one side, all others are the rest. Members of one component need no further
+    link, so the rest is compared with the largest and with itself, in blocks of ``REGION``, and the members of the
+    largest are never compared with each other. Members whose signature is like none of another component drop out.
+    """
     known = pin(
         regions.join(found, F.col("item") == F.col("node"), "left")
         .select("item", "region", F.coalesce("component", "item").alias("component"))
     )
-    several = pin(
-        known.groupBy("region").agg(F.min("component").alias("least"), F.max("component").alias("most"))
-        .where("least <> most").select("region")
-    )
-    rows = blocks(known.join(several, "region").select("item", "region"))
-    # With more than one block, each pair of blocks is a task, so that every pair of rows meets.
-    others = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    others = others.where((F.col("blocks") == 1) | (F.col("block") != F.col("other")))
-    return pin(others.select(
-        F.concat_ws("/", F.concat(F.lit("r"), F.col("region")), F.least("block", "other"), F.greatest("block", "other")).alias("task"), "item"
+    counts = known.groupBy("region", "component").agg(F.count("*").alias("n"))
+    sides = counts.groupBy("region").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all"), F.count("*").alias("several"))
+    many = lambda n: F.greatest(F.ceil(n / REGION), F.lit(1)).cast("int")
+    sides = pin(sides.where("several > 1").select(
+        "region", F.col("top.component").alias("largest"), many(F.col("top.n")).alias("upper"), many(F.col("all") - F.col("top.n")).alias("lower"), "all"
     ))
+    rows = known.join(sides, "region").withColumn("inside", F.col("component") == F.col("largest"))
+    block = F.pmod(F.xxhash64("item"), F.when(F.col("inside"), F.col("upper")).otherwise(F.col("lower"))).cast("int")
+    rows = rows.withColumn("block", block)
+    number = lambda of: F.sequence(F.lit(0), F.col(of) - 1)
+    with_rest = F.transform(number("lower"), lambda i: F.concat_ws("/", F.lit("u"), F.col("block"), i))
+    with_largest = F.transform(number("upper"), lambda i: F.concat_ws("/", F.lit("u"), i, F.col("block")))
+    among = F.transform(number("lower"), lambda i: F.concat_ws("/", F.lit("l"), F.least(i, F.col("block")), F.greatest(i, F.col("block"))))
+    pairs = F.when(F.col("all") <= REGION, F.array(F.lit("all"))).when(F.col("inside"), with_rest).otherwise(F.concat(with_largest, among))
+    tasks = rows.select("region", "item", "component", F.explode(pairs).alias("pair"))
+    tasks = tasks.select(F.concat_ws("/", F.concat(F.lit("r"), F.col("region")), "pair").alias("task"), "item", "component")
+    return pin(similar(tasks.join(classes.select("item", "signature"), "item")))
 
 
 def confirmed(items: list, sets: list[np.ndarray], percent: int) -> list[tuple]:
@@ -271,64 +286,78 @@ def confirmed(items: list, sets: list[np.ndarray], percent: int) -> list[tuple]:
 
 
 def links(tasks: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Confirmed links ``a``, ``b`` between the classes of each task, from their ``mark`` and ``body``."""
-    kind = tasks.schema["item"].dataType.simpleString()
+    """Confirmed links ``a``, ``b`` between the classes of each task, from their ``body``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Memo(_hash_words)
-        task, held = None, {}
+        task, items, sets = None, [], []
 
         def done() -> list[tuple]:
-            return confirmed(list(held), list(held.values()), percent) if len(held) > 1 else []
+            return confirmed(items, sets, percent) if len(items) > 1 else []
 
         for batch in batches:
             out = []
             for part in text_batches(batch, "body"):
-                sets = shingle_sets(part.column("body"), width, memo)
-                for name, item, mark, own in zip(*(part.column(c).to_pylist() for c in ("task", "item", "mark")), sets):
+                for name, item, own in zip(part.column("task").to_pylist(), part.column("item").to_pylist(), shingle_sets(part.column("body"), width, memo)):
                     if name != task:
                         out += done()
-                        task, held = name, {}
-                    # Rows that share an id hold other texts too; the class is the one with the mark.
-                    if item not in held and xxhash.xxh3_128_digest(own.tobytes()) == mark:
-                        held[item] = own
+                        task, items, sets = name, [], []
+                    items.append(item)
+                    sets.append(own)
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, batch.schema.field("item").type) for c in zip(*out)], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["a", "b"])
         if out := done():
-            yield pa.RecordBatch.from_arrays([pa.array(c, batch.schema.field("item").type) for c in zip(*out)], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["a", "b"])
 
     parts = int(tasks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = tasks.join(texts.hint("merge"), "item").select("task", "item", "mark", "body")
-    return pin(rows.repartition(parts, "task").sortWithinPartitions("task").mapInArrow(run, f"a {kind}, b {kind}"))
+    rows = tasks.join(texts.hint("merge"), "item").select("task", "item", "body")
+    return pin(rows.repartition(parts, "task").sortWithinPartitions("task").mapInArrow(run, "a long, b long"))
+
+
+def _of(text: str) -> Column:
+    """The text's own hash, by which the text of a class is found."""
+    return F.unhex(F.md5(F.col(text).cast("binary")))
 
 
-def linked(docs: DataFrame, classes: DataFrame, width: int, percent: int, key: str, text: str) -> DataFrame:
-    """Components of the classes by confirmed links; only texts that are compared at all are kept for it."""
+def grouped(rows: DataFrame, docs: DataFrame, width: int, percent: int, text: str, same: str | None = None) -> DataFrame:
+    """``mark`` and ``component`` (a number) of all sets of ``rows``; sets whose rows share a value of ``same`` belong together.
+
+    A class is a set, numbered when the classes are written; texts are read once more, one for each hash, and only those
+    of classes that are compared are kept.
+    """
+    classes = rows.where("mark IS NOT NULL").groupBy("mark").agg(F.min("of").alias("of"), F.first("signature").alias("signature"))
+    classes = pin(classes.withColumn("item", F.monotonically_increasing_id()))
     tasks, regions = compared(classes)
-    wanted = pin(tasks.select("item").union(regions.select("item")).distinct().join(classes.select("item", "mark"), "item"))
-    texts = docs.select(F.col(key).alias("item"), F.col(text).alias("body"))
-    texts = pin(texts.join(wanted.hint("merge"), "item").select("item", "mark", "body"))
+    wanted = tasks.select("item").union(regions.select("item")).distinct().join(classes.select("item", "of"), "item")
+    bodies = docs.where(F.col(text).isNotNull()).select(_of(text).alias("of"), F.col(text).alias("body")).groupBy("of").agg(F.first("body").alias("body"))
+    texts = pin(bodies.join(pin(wanted).hint("merge"), "of").select("item", "body"))
     first = links(tasks, texts, width, percent)
-    open_ = still_open(regions, components(first))
-    return components(first.union(links(open_, texts, width, percent)))
+    open_ = still_open(regions, components(first), classes)
+    edges = first.union(links(open_, texts, width, percent))
+    unpin(tasks, texts, open_)
+    if same:
+        held = rows.where("mark IS NOT NULL").select(F.col(same).alias("same"), "mark").distinct()
+        held = held.join(classes.select("mark", "item"), "mark")
+        shared = held.groupBy("same").agg(F.min("item").alias("a"), F.max("item").alias("b")).where("a < b").select("same", "a")
+        edges = edges.union(held.join(shared, "same").select("a", F.col("item").alias("b")))
+    found = components(edges)
+    return pin(
+        classes.select("mark", "item").join(found, F.col("item") == F.col("node"), "left").select("mark", F.coalesce("component", "item").alias("component"))
+    )
 
 
 def near_duplicates(
     docs: DataFrame, width: int = 5, percent: int = PERCENT, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """Per row: key, ``n_shingles``, ``component_id`` (smallest key reachable by links) and ``kept``."""
-    rows = pin(signatures(docs, width, key, text))
-    classes = pin(
-        rows.where("item IS NOT NULL AND mark IS NOT NULL").groupBy("mark")
-        .agg(F.min("item").alias("item"), F.first("signature").alias("signature"))
-    )
-    found = linked(docs, classes, width, percent, key, text)
-    roots = pin(
-        classes.select("mark", "item").join(found, F.col("item") == F.col("node"), "left")
-        .select("mark", F.coalesce("component", "item").alias("component"))
-    )
+    rows = pin(signatures(docs.select(F.col(key).alias("item"), _of(text).alias("of"), F.col(text).alias("body")), width))
+    named = rows.where("item IS NOT NULL")
+    groups = grouped(named, docs.where(F.col(key).isNotNull()), width, percent, text, "item")
+    least = named.where("mark IS NOT NULL").groupBy("mark").agg(F.min("item").alias("least")).join(groups, "mark")
+    roots = least.groupBy("component").agg(F.min("least").alias("root"))
+    roots = pin(least.join(roots, "component").select("mark", "root"))
     out = rows.select("item", "n_shingles", "mark").join(roots, "mark", "left")
-    component = F.when(F.col("item").isNotNull(), F.coalesce("component", "item"))
+    component = F.when(F.col("item").isNotNull(), F.coalesce("root", "item"))
     return out.select(
         F.col("item").alias(key), "n_shingles", component.alias("component_id"), F.col("item").eqNullSafe(component).alias("kept")
     )
@@ -337,22 +366,23 @@ def near_duplicates(
 def accept(docs: DataFrame, width: int = 5, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each group of near duplicates, with the columns it came with: that of the smallest key, null last.
 
-    Rows are told apart by their texts, so rows that share a key, or have none, are compared like all others. Texts
-    without words all stay.
+    Rows are told apart by their texts, so rows that share a key, or have none, are compared like all others; of rows of a
+    group that share the smallest key, the one with the smallest other columns stays. Texts without words all stay. All but two
+    steps work on hashes: one reads the texts to compare, one takes the chosen rows from the input.
     """
-    node = F.sha2(F.col(text).cast("binary"), 256)
-    rows = docs.withColumn("_node", node)
-    bodies = pin(rows.where("_node IS NOT NULL").groupBy("_node").agg(F.first(text).alias("_body")))
-    found = pin(near_duplicates(bodies, width, percent, "_node", "_body"))
-    keys = rows.select(F.col(key).alias("_key"), "_node").distinct()
-    least = F.min(F.struct(F.col("_key").isNull().alias("none"), "_key", "_node")).alias("least")
-    grouped = found.where("n_shingles > 0").select("_node", "component_id")
-    chosen = pin(keys.join(grouped, "_node").groupBy("component_id").agg(least).select("least._key", F.col("least._node").alias("_of")))
-    copies = rows.join(chosen, (F.col("_node") == F.col("_of")) & F.col(key).eqNullSafe(F.col("_key")))
-    # Copies differ in further columns at most; the smallest of these are taken, so a task that runs again keeps the same row.
-    others = [c for c in docs.columns if c not in (key, text)]
-    one = copies.groupBy("_node").agg(
-        F.first(key).alias(key), F.first(text).alias(text), F.min(F.struct(F.lit(0).alias("_"), *others)).alias("_others")
-    ).select(*[f"_others.{c}" if c in others else c for c in docs.columns])
-    wordless = rows.where("_node IS NULL").union(rows.join(found.where("n_shingles = 0").select("_node"), "_node", "left_semi").select(*rows.columns))
-    return one.union(wordless.select(*docs.columns))
+    word = F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    packed = docs.where(word).select(whole.alias("row"), _of(text).alias("of"), F.xxhash64(whole).alias("own"))
+    rest = F.struct(F.lit(0).alias("_"), *[F.col(f"row.`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c not in (key, text)])
+    slim = packed.select(
+        F.struct(F.col(f"row.`{key}`").alias("key"), rest.alias("rest"), "own").alias("item"), "of", F.col(f"row.`{text}`").alias("body")
+    )
+    rows = pin(signatures(slim, width))
+    groups = grouped(rows, docs.where(word), width, percent, text)
+    order = [F.col("item.key").isNull().alias("none"), *[F.col(f"item.{c}").alias(c) for c in ("key", "rest", "own")]]
+    first = F.min(F.struct(*order, "of")).alias("least")
+    chosen = pin(rows.select("item", "of", "mark").join(groups, "mark").groupBy("component").agg(first).select("least.of", "least.own"))
+    # Equal rows meet before they are shuffled; what is left of them is joined where it lies.
+    distinct = packed.groupBy("of", "own").agg(F.first("row").alias("row"))
+    one = distinct.join(chosen.hint("merge"), ["of", "own"], "left_semi")
+    return one.select("row.*").union(docs.where(~word))

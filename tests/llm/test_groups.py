@@ -120,3 +120,65 @@ def test_a_rule_needs_a_number_of_pages_not_a_share(spark):
     labels = spark.createDataFrame([(i, int(i >= 20), 0) for i in range(len(urls))], "doc_id long, quality int, toxic int")
     got = url_rules.judge(pages, labels).groupBy("verdict").count().collect()
     assert {r["verdict"]: r["count"] for r in got} == {"block": 20, "allow": 6000}
+
+
+def _plain_groups(rows, width=5):
+    """Smallest id of each row's group: links of similar sets, and rows that share an id together."""
+    sets = []
+    for _, text in rows:
+        words = (text or "").lower().split()
+        sets.append({tuple(words[i : i + width]) for i in range(max(len(words) - width + 1, 1))} if words else set())
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            same = rows[i][0] is not None and rows[i][0] == rows[j][0] and sets[i] and sets[j]
+            near = None not in (rows[i][0], rows[j][0]) and sets[i] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])
+            if same or near:
+                root[find(i)] = find(j)
+    ids = {}
+    for i, (key, _) in enumerate(rows):
+        if key is not None:
+            ids[find(i)] = min(ids.get(find(i), key), key)
+    return sorted((str(key), text or "", None if key is None else ids[find(i)]) for i, (key, text) in enumerate(rows))
+
+
+def test_ids_with_several_texts(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(40)) for c in "ab")
+    near = b.replace("b20", "other")
+    rows = [(5, a), (5, b), (9, near), (None, near), (11, a + " more"), (12, None), (12, ""), (13, "x y"), (14, "x y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("text2", F.col("text"))
+    got = lsh_forest.near_duplicates(df).collect()
+    assert sorted((str(r.doc_id), r.component_id) for r in got) == sorted((k, c) for k, _, c in _plain_groups(rows))
+
+
+def test_large_region_with_many_components(spark, monkeypatch):
+    monkeypatch.setattr(lsh_forest, "REGION", 8)
+    draw = np.random.default_rng(6)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(150):
+        words = list(base)
+        for at in draw.choice(60, int(draw.choice([0, 1, 2, 9])), replace=False):
+            words[at] = f"v{i}x{at}"
+        rows.append((i, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = lsh_forest.near_duplicates(df).collect()
+    assert sorted((str(r.doc_id), r.component_id) for r in got) == sorted((k, c) for k, _, c in _plain_groups(rows))
+
+
+def test_accept_keeps_columns_of_any_name(spark):
+    text = " ".join(f"t{i}" for i in range(30))
+    rows = [(3, text, "a", 1), (3, text, "a", 1), (2, text + " end", "b", 2), (None, text, "c", 3), (None, None, "d", 4), (7, "", "e", 5), (7, "", "e", 5)]
+    for names in (["of", "own"], ["_node", "_of"], ["item", "body"], ["row", "mark"], ["component", "least"], ["signature", "key"]):
+        df = spark.createDataFrame(rows, f"doc_id long, text string, {names[0]} string, {names[1]} int")
+        got = lsh_forest.accept(df)
+        assert got.columns == df.columns
+        assert sorted(map(str, got.collect())) == sorted(
+            f"Row(doc_id={d!r}, text={t!r}, {names[0]}={x!r}, {names[1]}={y})" for d, t, x, y in rows[2:3] + rows[4:]
+        )
