@@ -37,7 +37,7 @@ from floorlens.llm.words import Memo, strings, text_batches, words_of
 from floorlens.session import pin, unpin
 
 TREES, DEPTH, SHALLOW = 20, 6, 4
-REGION = 128
+REGION, SIDE = 128, 1024
 FIRST = 3
 STAR = 64
 LEAST = 0.6
@@ -224,7 +224,7 @@ def still_open(regions: DataFrame, found: DataFrame, classes: DataFrame) -> Data
     """``task`` and ``item``: what is still to compare in the regions that hold more than one component.
 
     The largest component of a region is one side, all others are the rest. Members of one component need no further
-    link, so the rest is compared with the largest and with itself, in blocks of ``REGION``, and the members of the
+    link, so the rest is compared with the largest and with itself, in blocks of ``SIDE``, and the members of the
     largest are never compared with each other. Members whose signature is like none of another component drop out.
     """
     known = pin(
@@ -233,7 +233,7 @@ def still_open(regions: DataFrame, found: DataFrame, classes: DataFrame) -> Data
     )
     counts = known.groupBy("region", "component").agg(F.count("*").alias("n"))
     sides = counts.groupBy("region").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all"), F.count("*").alias("several"))
-    many = lambda n: F.greatest(F.ceil(n / REGION), F.lit(1)).cast("int")
+    many = lambda n: F.greatest(F.ceil(n / SIDE), F.lit(1)).cast("int")
     sides = pin(sides.where("several > 1").select(
         "region", F.col("top.component").alias("largest"), many(F.col("top.n")).alias("upper"), many(F.col("all") - F.col("top.n")).alias("lower"), "all"
     ))
@@ -244,7 +244,7 @@ def still_open(regions: DataFrame, found: DataFrame, classes: DataFrame) -> Data
     with_rest = F.transform(number("lower"), lambda i: F.concat_ws("/", F.lit("u"), F.col("block"), i))
     with_largest = F.transform(number("upper"), lambda i: F.concat_ws("/", F.lit("u"), i, F.col("block")))
     among = F.transform(number("lower"), lambda i: F.concat_ws("/", F.lit("l"), F.least(i, F.col("block")), F.greatest(i, F.col("block"))))
-    pairs = F.when(F.col("all") <= REGION, F.array(F.lit("all"))).when(F.col("inside"), with_rest).otherwise(F.concat(with_largest, among))
+    pairs = F.when(F.col("all") <= SIDE, F.array(F.lit("all"))).when(F.col("inside"), with_rest).otherwise(F.concat(with_largest, among))
     tasks = rows.select("region", "item", "component", F.explode(pairs).alias("pair"))
     tasks = tasks.select(F.concat_ws("/", F.concat(F.lit("r"), F.col("region")), "pair").alias("task"), "item", "component")
     return pin(similar(tasks.join(classes.select("item", "signature"), "item")))

@@ -159,6 +159,7 @@ def test_ids_with_several_texts(spark):
 
 def test_large_region_with_many_components(spark, monkeypatch):
     monkeypatch.setattr(lsh_forest, "REGION", 8)
+    monkeypatch.setattr(lsh_forest, "SIDE", 16)
     draw = np.random.default_rng(6)
     base = [f"w{i}" for i in range(60)]
     rows = []
