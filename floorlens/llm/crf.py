@@ -38,7 +38,7 @@ SPAN = 12
 SPANS = 6
 ROUNDS = 40
 STEP = 0.1
-STRETCH_BYTES = 8 << 20
+STRETCH_BYTES = 2 << 20
 CELLS = 1 << 19
 UNKNOWN = "und"
 
