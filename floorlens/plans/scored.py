@@ -15,13 +15,13 @@ from pyspark.sql import functions as F
 
 from floorlens.functions.calendar import minute_index
 from floorlens.functions.exact import ratio
-from floorlens.ml import datasets, evaluation, scoring, segments
+from floorlens.ml import datasets, evaluation, isolation, scoring, segments
 from floorlens.operators import features, lookups, tiers
 from floorlens.operators.reports.executive import daily_activity
 from floorlens.operators.reports.player import active_players
+from floorlens.session import pin
 from floorlens.sources.bind import Floor
 
-ANOMALY_SCORE = 9.3
 SESSION_BANDS = [(46, 3), (38, 2), (30, 1)]
 SLA_MINUTES = {"Critical": 20_000, "High": 40_000, "Medium": 80_000}
 SLA_OTHER = 160_000
@@ -40,14 +40,12 @@ def failure(floor: Floor) -> DataFrame:
 
 
 def anomaly(floor: Floor) -> DataFrame:
+    """Machine-days scored by their z-scores; as large a share is flagged as the rules flag, within bounds."""
     # The z-scores are decimals, so their sum and its ties are the same in every engine.
     parts = [F.coalesce(F.abs(f"{m}_z_score"), F.lit(0)) for m in ("revenue", "wager", "downtime")]
     score = (parts[0] + parts[1] + parts[2]).cast("double")
-    return (
-        features.machine_anomaly(floor)
-        .withColumn("anomaly_score", score)
-        .withColumn("isolation_forest_anomaly_flag", (F.col("anomaly_score") >= ANOMALY_SCORE).cast("int"))
-    )
+    scored = pin(features.machine_anomaly(floor).withColumn("anomaly_score", score))
+    return isolation.flag(scored, isolation.contamination(scored))
 
 
 def clusters(floor: Floor) -> DataFrame:

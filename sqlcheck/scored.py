@@ -163,10 +163,21 @@ SELECT failure_risk_level, count(*) AS machine_count, avg(failure_probability) A
 FROM maintenance GROUP BY 1"""
 
 # ---- anomalies ---------------------------------------------------------------------------------
-add("anomaly_scored", """
-SELECT *, CASE WHEN anomaly_score >= 9.3e0 THEN 1 ELSE 0 END AS isolation_forest_anomaly_flag FROM (
+add("anomaly_points", """
   SELECT *, CAST(coalesce(abs(revenue_z_score), 0) + coalesce(abs(wager_z_score), 0)
-    + coalesce(abs(downtime_z_score), 0) AS DOUBLE) AS anomaly_score FROM anomaly_feature) AS s""")
+    + coalesce(abs(downtime_z_score), 0) AS DOUBLE) AS anomaly_score FROM anomaly_feature""")
+add("anomaly_border", """
+SELECT low + (high - low) * (place - floor(place)) AS border FROM (
+  SELECT place, max(CASE WHEN i = floor(place) THEN anomaly_score END) AS low,
+    max(CASE WHEN i = ceil(place) THEN anomaly_score END) AS high
+  FROM (
+    SELECT anomaly_score, row_number() OVER (ORDER BY anomaly_score) - 1 AS i, (count(*) OVER () - 1) * (1 - greatest(0.02e0, least(0.20e0,
+      CAST(count(*) FILTER (rule_based_anomaly_flag = 1) OVER () AS DOUBLE) / count(*) OVER ()))) AS place
+    FROM anomaly_points) AS r
+  GROUP BY place) AS ends""")
+add("anomaly_scored", """
+SELECT p.*, CASE WHEN anomaly_score > border THEN 1 ELSE 0 END AS isolation_forest_anomaly_flag
+FROM anomaly_points AS p CROSS JOIN anomaly_border""")
 BODY["ml13_rule_agreement"] = f"""
 SELECT *, {_metrics} FROM (SELECT {_counts.format(y='rule_based_anomaly_flag', p='(isolation_forest_anomaly_flag = 1)')}
   FROM anomaly_scored) AS c"""
