@@ -1,18 +1,22 @@
 """Prediction by partial matching over byte contexts.
 
-A text is the sequence of its words and one end token. Each token is coded byte by byte with a closing
-blank; the context of a byte are the up to ``ORDER`` bytes before it within the token, the blank before the
-token included. Contexts do not reach into the token before, so a token's code length is a property of the
-token, and the trie is counted from distinct tokens and how often the training texts hold them.
+A text is the sequence of its words and one end token. It is coded byte by byte: its words, each with a closing
+blank, then one more blank as the end; a blank stands before the first word. The context of a byte are the up to
+``ORDER`` bytes before it in the whole text, so contexts reach over blanks into the words before, and the order of
+the words counts.
 
 Probabilities are those of method D with exclusion: in a context seen T times with q distinct symbols, a symbol
 seen c times has (2c - 1) / 2T and escape q / 2T; after an escape, the symbols of the longer context no longer
 count in the shorter one. Contexts never seen are skipped. Below order 0, the bytes not seen at all are
 equally likely. The model is pretrained: fitted on the training texts, then fixed.
 
-Nothing of corpus size reaches the driver or a broadcast. Texts are coded in blocks with a vocabulary of
-their own; (block, token) pairs are joined with counts and code lengths, and go back to their block. The code
-lengths of tokens are found the same way from blocks of tokens and their byte strings.
+A node of the trie and a symbol after it are one number, the byte string. Texts go into blocks, and a block's distinct
+strings are counted where its texts are read. A block's strings travel as packed binaries, dealt by hash into buckets of
+about ``ENTRIES``, never as a row each; buckets add up the counts of all blocks. The distinct strings are
+grouped by the last three bytes of their contexts, which hold all that the orders above two need; the counts of the orders up to
+two are at most 2^24 numbers by the width of three bytes, and go to all groups. The lengths found go back to
+the buckets, from there to the blocks, which add them up along their texts. Nothing else of corpus size reaches
+the driver or a broadcast.
 
 Defined cases: a null text counts as empty and has the end token alone; without training texts all counts
 are 0 and bytes are equally likely; repeated rows count as often as they occur; ids may be null.
@@ -23,19 +27,22 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from floorlens.llm.words import text_batches, words_of
-from floorlens.session import pin
+from floorlens.session import pin, unpin
 
 ORDER = 6
 BLOCK_BYTES = 16 << 20
-BLOCK_TOKENS = 300_000
-BLANK = 0x20
+#: Places whose byte strings are held at once.
+WINDOW = 1 << 21
+#: Strings of all blocks in a bucket, and distinct strings in a group, on average.
+ENTRIES = 1 << 21
+GROUP = 200_000
 
 
 def _serial() -> Iterator[int]:
@@ -45,137 +52,245 @@ def _serial() -> Iterator[int]:
         at += 1
 
 
-def coded_texts(docs: DataFrame, training: Column, key: str, text: str) -> DataFrame:
-    """Rows of two kinds by block: texts as codes, and the block's tokens with their code and training count."""
+def packed(values: np.ndarray) -> bytes:
+    """Numbers of eight bytes as a binary, equal bytes side by side."""
+    return pa.compress(values.view(np.uint8).reshape(-1, 8).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, size: int, kind: type = np.int64) -> np.ndarray:
+    flat = np.frombuffer(pa.decompress(data, decompressed_size=8 * size, codec="zstd"), np.uint8)
+    return np.ascontiguousarray(flat.reshape(8, size).T).view(kind).ravel()
+
+
+def packed_strings(strings: np.ndarray) -> bytes:
+    """Ascending strings, by their differences."""
+    return packed(np.diff(strings, prepend=np.int64(0)))
+
+
+def unpacked_strings(data: bytes, size: int) -> np.ndarray:
+    return np.cumsum(unpacked(data, size))
+
+
+def bucket_of(strings: np.ndarray, bits: int) -> np.ndarray:
+    """The first ``bits`` bits of a mixed string."""
+    if not bits:
+        return np.zeros(len(strings), np.int64)
+    return (strings.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def merged(strings: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct strings, ascending, and the sums of their counts."""
+    if not len(strings):
+        return strings, counts
+    order = np.argsort(strings)
+    strings, counts = strings[order], counts[order]
+    first = np.flatnonzero(np.append(True, strings[1:] != strings[:-1]))
+    return strings[first], np.add.reduceat(counts, first)
+
+
+def lines_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, pa.Array]:
+    """Each text as it is coded, from the blank before it to its end; and its words as ``words_of`` gives them."""
+    offsets, codes, words = words_of(texts, lower=True)
+    lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), words.take(pa.array(codes)))
+    close = pc.if_else(pc.equal(pc.list_value_length(lists), 0), "", " ")
+    return pc.binary_join_element_wise(" ", pc.binary_join(lists, " "), close, " ", ""), offsets, codes, words
+
+
+def windows(lines: pa.Array, width: int = WINDOW) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The coded places of all lines, some at a time: the line of each, and its byte string.
+
+    A string is one number: the context, then the byte, below a leading 1.
+    """
+    sizes = pc.binary_length(lines).to_numpy(zero_copy_only=False).astype(np.int64)
+    data = np.frombuffer(b"".join(lines.cast(pa.binary()).to_pylist()), np.uint8)
+    starts = np.cumsum(sizes) - sizes
+    for at in range(0, len(data), width):
+        stop = min(at + width, len(data))
+        low, high = np.searchsorted(starts, [at, stop])
+        near = starts[max(0, np.searchsorted(starts, at - ORDER)) : high]
+        depth = np.full(stop - at, ORDER)
+        for k in range(ORDER - 1, -1, -1):  # of two lines close by, the later one counts
+            own = near + k - at
+            depth[own[(own >= 0) & (own < stop - at)]] = k
+        back = min(ORDER, at)
+        wide = np.concatenate([np.zeros(ORDER - back, np.int64), data[at - back : stop].astype(np.int64)])
+        out = wide[ORDER:].copy()
+        for j in range(1, ORDER + 1):
+            out |= wide[ORDER - j : len(wide) - j] << (8 * j)
+        top = np.int64(1) << (8 * (depth + 1))
+        out = (out & (top - 1)) | top
+        edges = np.concatenate([[at], starts[low:high], [stop]])
+        line = np.repeat(np.arange(low - 1, high), np.diff(edges))
+        coded = depth > 0
+        yield line[coded], out[coded]
+
+
+def block_strings(lines: pa.Array, train: np.ndarray, width: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct byte strings of the lines and how often training lines hold them."""
+    whole, held, waiting = (np.empty(0, np.int64), np.empty(0, np.int64)), [], 0
+
+    def joined() -> tuple[np.ndarray, np.ndarray]:
+        return merged(*(np.concatenate(c) for c in zip(whole, *held)))
+
+    for line, strings in windows(lines, width):
+        own, where = np.unique(strings, return_inverse=True)
+        held.append((own, np.bincount(where[train[line]], minlength=len(own)).astype(np.int64)))
+        waiting += len(own)
+        if waiting > max(len(whole[0]), WINDOW):
+            whole, held, waiting = joined(), [], 0
+    return joined()
+
+
+def coded_texts(docs: DataFrame, training: Column, key: str, text: str, limit: int) -> DataFrame:
+    """Rows of three kinds by block: its lines, its distinct tokens, and its byte strings in one row; tokens and
+    strings with their training counts."""
     rows = docs.select(F.col(key).alias("item"), F.coalesce(training, F.lit(False)).alias("train"), F.col(text).alias("body"))
     kind = rows.schema["item"].dataType.simpleString()
-    names = ["block", "item", "train", "codes", "code", "piece", "n"]
+    names = ["block", "item", "train", "line", "piece", "n", "strings", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        serial = _serial()
+        serial, held, size, kinds = _serial(), [], 0, None
+
+        def row(many: int, block: int, **given: pa.Array) -> pa.RecordBatch:
+            columns = [given[c] if c in given else pa.nulls(many, t) for c, t in zip(names[1:], kinds)]
+            return pa.RecordBatch.from_arrays([pa.array(np.full(many, block)), *columns], names)
+
+        def block_of(block: int) -> Iterator[pa.RecordBatch]:
+            counts: dict[bytes, int] = {}
+            for item, train, line, words, met in held:
+                for w, n in zip(words.to_pylist(), met.tolist()):
+                    counts[w] = counts.get(w, 0) + n
+            pieces, numbers = list(counts), np.fromiter(counts.values(), np.int64, len(counts))
+            for at in range(0, len(pieces), 50_000):
+                some = pieces[at : at + 50_000]
+                yield row(len(some), block, piece=pa.array(some, pa.binary()), n=pa.array(numbers[at : at + 50_000]))
+            for item, train, line, _, _ in held:
+                yield row(len(line), block, item=item, train=train, line=line.cast(pa.binary()))
+            lines = pa.concat_arrays([h[2] for h in held])
+            strings, numbers = block_strings(lines, np.concatenate([h[1].to_numpy(zero_copy_only=False) for h in held]))
+            yield row(
+                1, block, n=pa.array([len(strings)]), strings=pa.array([packed_strings(strings)], pa.binary()),
+                counts=pa.array([packed(numbers)], pa.binary()),
+            )
+
         for batch in batches:
-            for part in text_batches(batch, "body", BLOCK_BYTES):
-                offsets, codes, words = words_of(part.column("body"), lower=True)
-                end = len(words)
-                codes = np.insert(codes, offsets[1:], end).astype(np.int32)
-                offsets = offsets + np.arange(len(offsets))
+            kinds = [batch.schema.field("item").type, pa.bool_(), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.binary()]
+            for part in text_batches(batch, "body"):
+                line, offsets, codes, words = lines_of(part.column("body"))
                 train = part.column("train").to_numpy(zero_copy_only=False)
-                counts = np.bincount(codes[np.repeat(train, np.diff(offsets))], minlength=end + 1)
-                block = next(serial)
-                data = pa.Array.from_buffers(
-                    pa.binary(), part.num_rows, [None, pa.py_buffer((offsets * 4).astype(np.int32)), pa.py_buffer(codes)]
-                )
-                none = lambda n, t: pa.nulls(n, t)
-                n, m = part.num_rows, end + 1
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, block)), part.column("item"), part.column("train"), data,
-                     none(n, pa.int32()), none(n, pa.binary()), none(n, pa.int64())], names)
-                pieces = pa.concat_arrays([words.cast(pa.binary()), pa.array([b""])])
-                for at in range(0, m, 50_000):
-                    size = min(50_000, m - at)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(size, block)), none(size, part.schema.field("item").type), none(size, pa.bool_()),
-                         none(size, pa.binary()), pa.array(np.arange(at, at + size, dtype=np.int32)),
-                         pieces.slice(at, size), pa.array(counts[at : at + size])], names)
+                met = np.bincount(codes[np.repeat(train, np.diff(offsets))], minlength=len(words))
+                words = pa.concat_arrays([words.cast(pa.binary()), pa.array([b""])])
+                held.append((part.column("item"), part.column("train"), line, words, np.append(met, train.sum())))
+                size += line.nbytes
+                if size >= limit:
+                    yield from block_of(next(serial))
+                    held, size = [], 0
+        if held:
+            yield from block_of(next(serial))
 
     return rows.mapInArrow(
-        run, f"block long, item {kind}, train boolean, codes binary, code int, piece binary, n long"
+        run, f"block long, item {kind}, train boolean, line binary, piece binary, n long, strings binary, counts binary"
     )
 
 
-def strings_of(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Each byte of the tokens and their closing blanks as one number: context, then byte, below a leading 1.
-
-    Back come the sizes of the tokens (with the blank) and the numbers.
-    """
-    data = np.frombuffer(b" " + b"".join(t + b" " for t in tokens), np.uint8)
-    sizes = np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1
-    places = np.arange(1, len(data))
-    first = np.repeat(np.cumsum(sizes) - sizes, sizes)
-    depth = np.minimum(places - first, ORDER)
-    out = np.int64(1) << (8 * (depth + 1))
-    for j in range(ORDER + 1):
-        out |= np.where(j <= depth, data[np.maximum(places - j, 0)].astype(np.int64) << (8 * j), 0)
-    return sizes, out
-
-
-def coded_tokens(tokens: DataFrame) -> DataFrame:
-    """``coded_texts`` one level down: tokens as codes of byte strings, in blocks of ``BLOCK_TOKENS``."""
-    names = ["block", "item", "codes", "code", "piece", "n"]
-
-    def block_of(block: int, held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = [t for b in held for t in b.column(0).to_pylist()]
-        weights = np.concatenate([b.column(1).to_numpy() for b in held])
-        sizes, strings = strings_of(pieces)
-        distinct, codes = np.unique(strings, return_inverse=True)
-        counts = np.bincount(codes, np.repeat(weights, sizes), len(distinct)).astype(np.int64)
-        n, m = len(pieces), len(distinct)
-        ends = np.concatenate([[0], np.cumsum(sizes)]) * 4
-        data = pa.Array.from_buffers(
-            pa.binary(), n, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(codes.astype(np.int32))]
-        )
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(n, block)), pa.array(pieces, pa.binary()), data,
-             pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.array(weights, pa.int64())], names)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(m, block)), pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary()),
-             pa.array(np.arange(m, dtype=np.int32)), pa.array(distinct), pa.array(counts)], names)
+def dealt(blobs: DataFrame, bits: int) -> DataFrame:
+    """The strings of each block by bucket: ``bucket``, ``block``, ``n``, ``strings``, ``counts``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        serial, held, size = _serial(), [], 0
         for batch in batches:
-            held.append(batch)
-            size += batch.num_rows
-            if size >= BLOCK_TOKENS:
-                yield from block_of(next(serial), held)
-                held, size = [], 0
-        if size:
-            yield from block_of(next(serial), held)
-
-    return tokens.select("piece", "n").mapInArrow(
-        run, "block long, item binary, codes binary, code int, piece long, n long"
+            for block, n, strings, counts in zip(*(batch.column(c).to_pylist() for c in ("block", "n", "strings", "counts"))):
+                strings, counts = unpacked_strings(strings, n), unpacked(counts, n)
+                bucket = bucket_of(strings, bits)
+                order = np.argsort(bucket, kind="stable")
+                own, sizes = np.unique(bucket, return_counts=True)
+                ends = np.cumsum(sizes)
+                parts = [order[e - s : e] for e, s in zip(ends, sizes)]
+                for at in range(0, len(own), 64):
+                    some = parts[at : at + 64]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(own[at : at + 64]), pa.array(np.full(len(some), block)), pa.array(sizes[at : at + 64].astype(np.int64)),
+                         pa.array([packed_strings(strings[p]) for p in some], pa.binary()),
+                         pa.array([packed(counts[p]) for p in some], pa.binary())],
+                        ["bucket", "block", "n", "strings", "counts"])
+
+    return blobs.select("block", "n", "strings", "counts").mapInArrow(
+        run, "bucket long, block long, n long, strings binary, counts binary"
     )
 
 
-def _levels(strings: np.ndarray, counts: np.ndarray, low: np.ndarray, lowest: np.ndarray) -> np.ndarray:
-    """log10 of the probability of each byte string; all strings share the last two bytes of their context.
+def counted(parts: DataFrame) -> DataFrame:
+    """``piece`` (byte string) and its training count ``n`` over all blocks."""
 
-    ``low[a, s]``: training count of byte s after byte a; ``lowest[s]``: of byte s at all.
-    """
+    def run(group: pa.Table) -> pa.Table:
+        whole, held, waiting = (np.empty(0, np.int64), np.empty(0, np.int64)), [], 0
+        for n, strings, counts in zip(*(group.column(c).to_pylist() for c in ("n", "strings", "counts"))):
+            held.append((unpacked_strings(strings, n), unpacked(counts, n)))
+            waiting += n
+            if waiting > max(len(whole[0]), WINDOW):
+                whole, held, waiting = merged(*(np.concatenate(c) for c in zip(whole, *held))), [], 0
+        whole = merged(*(np.concatenate(c) for c in zip(whole, *held)))
+        return pa.table({"piece": whole[0], "n": whole[1]})
+
+    return parts.groupBy("bucket").applyInArrow(run, "piece long, n long")
+
+
+class Low:
+    """Counts of the orders up to two, from the strings cut to their last three bytes."""
+
+    def __init__(self, strings: np.ndarray, counts: np.ndarray):
+        self.one = np.zeros((256, 256), np.int64)
+        np.add.at(self.one, (strings >> 8 & 0xFF, strings & 0xFF), counts)
+        self.none = self.one.sum(axis=0)
+        deep = strings >= 1 << 24
+        self.strings, self.two = merged(strings[deep] & 0xFFFFFF, counts[deep])
+        self.contexts, where = np.unique(self.strings >> 8, return_inverse=True)
+        sums = lambda values: np.bincount(where, values, len(self.contexts)).astype(np.int64)
+        self.total, self.kinds = sums(self.two), sums(self.two > 0)
+        self.hidden = sums(self.one[self.strings >> 8 & 0xFF, self.strings & 0xFF])
+
+
+def _found(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The value of each wanted key, 0 where there is none; the keys ascend."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, values[at], 0)
+
+
+def levels(strings: np.ndarray, counts: np.ndarray, low: Low) -> np.ndarray:
+    """log10 of the probability of each byte string; of contexts with the same last three bytes, all strings are given."""
     length = np.zeros(len(strings), np.int64)
     for j in range(1, ORDER + 2):
         length += strings >= np.int64(1) << (8 * j)
     length -= 1  # bytes of the context
     symbol = strings & 0xFF
     context = (strings ^ (np.int64(1) << (8 * (length + 1)))) >> 8
-    after = (context & 0xFF).astype(np.int64)
     n = len(strings)
-    seen, total, kinds = {}, {}, {}  # by order: count of the symbol, of all symbols, and distinct symbols
-    member = {}
-    for j in range(2, ORDER + 1):
+    seen, total, kinds, hidden = {}, {}, {}, {}  # by order: count of the symbol, of all symbols, and distinct symbols
+    rows = low.one[context & 0xFF]
+    seen[0], total[0] = low.none[symbol], np.full(n, low.none.sum())
+    kinds[0] = np.full(n, (low.none > 0).sum())
+    seen[1], total[1], kinds[1] = rows[np.arange(n), symbol], rows.sum(axis=1), (rows > 0).sum(axis=1)
+    hidden[1] = ((rows > 0) * low.none).sum(axis=1)  # count, one order lower, of the symbols this context has seen
+    del rows
+    two, deep = context & 0xFFFF, length >= 2
+    seen[2] = np.where(deep, _found(low.strings, low.two, two << 8 | symbol), 0)
+    for values, found in ((total, low.total), (kinds, low.kinds), (hidden, low.hidden)):
+        values[2] = np.where(deep, _found(low.contexts, found, two), 0)
+    for j in range(3, ORDER + 1):
         own = np.flatnonzero(length >= j)
         keys = ((context[own] & ((np.int64(1) << (8 * j)) - 1)) << 8) | symbol[own]
         distinct, where = np.unique(keys, return_inverse=True)
         sums = np.bincount(where, counts[own], len(distinct)).astype(np.int64)
         group, inside = np.unique(distinct >> 8, return_inverse=True)
-        seen[j], total[j], kinds[j] = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
-        seen[j][own] = sums[where]
-        total[j][own] = np.bincount(inside, sums, len(group)).astype(np.int64)[inside][where]
-        kinds[j][own] = np.bincount(inside, sums > 0, len(group)).astype(np.int64)[inside][where]
         first = np.empty(len(distinct), np.int64)
         first[where] = own
-        member[j] = (own, where, sums > 0, inside, first, len(group))
-    rows = low[after]
-    seen[1], total[1], kinds[1] = rows[np.arange(n), symbol], rows.sum(axis=1), (rows > 0).sum(axis=1)
-    seen[0] = lowest[symbol]
-    total[0], kinds[0] = np.full(n, lowest.sum()), np.full(n, (lowest > 0).sum())
-    hidden = {}  # by order: count, one order lower, of the symbols this context has seen
-    for j in range(2, ORDER + 1):
-        own, where, met, inside, first, groups = member[j]
-        sums = np.bincount(inside, np.where(met, seen[j - 1][first], 0), groups)
-        hidden[j] = np.zeros(n, np.int64)
-        hidden[j][own] = sums.astype(np.int64)[inside][where]
-    hidden[1] = ((rows > 0) * lowest).sum(axis=1)
+        for values in (seen, total, kinds, hidden):
+            values[j] = np.zeros(n, np.int64)
+        seen[j][own] = sums[where]
+        per_context = ((total, sums), (kinds, sums > 0), (hidden, np.where(sums > 0, seen[j - 1][first], 0)))
+        for values, given in per_context:
+            values[j][own] = np.bincount(inside, given, len(group)).astype(np.int64)[inside][where]
 
     out, going = np.zeros(n), np.ones(n, bool)
     out_total, out_kinds = np.zeros(n, np.int64), np.zeros(n, np.int64)
@@ -191,63 +306,43 @@ def _levels(strings: np.ndarray, counts: np.ndarray, low: np.ndarray, lowest: np
         if j:
             out_total = np.where(use, hidden[j], out_total)
             out_kinds = np.where(use, kinds[j], out_kinds)
-    out[going] -= np.log10(max(256 - (lowest > 0).sum(), 1))
+    out[going] -= np.log10(max(256 - (low.none > 0).sum(), 1))
     return out
 
 
-def string_lengths(strings: DataFrame) -> DataFrame:
-    """``piece`` (byte string) and ``value`` (log10 of its probability) from training counts ``n``.
-
-    The two shortest orders have at most 65,792 counts; these alone go through the driver.
-    """
-    byte, before = F.expr("piece & 255"), F.expr("shiftright(piece, 8) & 255")
-    low = np.zeros((256, 256), np.int64)
-    for a, s, n in strings.where("n > 0").groupBy(before.alias("a"), byte.alias("s")).agg(F.sum("n")).collect():
-        low[a, s] = n
-    lowest = low.sum(axis=0)
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        values = _levels(group["piece"].to_numpy(), group["n"].to_numpy(), low, lowest)
-        return pd.DataFrame({"piece": group["piece"], "value": values})
-
-    # A context of one byte has the leading 1 in place of the second byte: a group of its own.
-    return strings.groupBy(F.expr("shiftright(piece, 8) & 65535").alias("tail")).applyInPandas(
-        run, "piece long, value double"
-    )
-
-
-def _values(vocabulary: pa.Table, names: list[str]) -> list[np.ndarray]:
-    codes = vocabulary.column("code").to_numpy()
-    out = []
-    for name in names:
-        column = np.empty(len(codes))
-        column[codes] = vocabulary.column(name).to_numpy()
-        out.append(column)
-    return out
+def string_lengths(strings: DataFrame, bits: int) -> DataFrame:
+    """``bucket``, ``piece`` (byte string) and ``value`` (log10 of its probability) from the training counts ``n``."""
+    short = F.when(F.col("piece") >= 1 << 24, F.expr("piece & 16777215 | 16777216")).otherwise(F.col("piece"))
+    held = strings.where("n > 0").groupBy(short.alias("piece")).agg(F.sum("n").alias("n")).toPandas()
+    low = Low(held["piece"].to_numpy(np.int64), held["n"].to_numpy(np.int64))
+    groups = max(1, -(-strings.count() // GROUP))
 
+    def run(group: pa.Table) -> pa.Table:
+        pieces = group.column("piece").to_numpy()
+        values = levels(pieces, group.column("n").to_numpy(), low)
+        return pa.table({"bucket": bucket_of(pieces, bits), "piece": pieces, "value": values})
 
-def _sums(codes: pa.ChunkedArray, columns: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Codes per row, and the sum of each column over the codes of each row."""
-    sizes = np.array([len(c) // 4 for c in codes.to_pylist()], np.int64)
-    flat = np.frombuffer(b"".join(codes.to_pylist()), np.int32)
-    starts = np.cumsum(sizes) - sizes
-    return sizes, [np.add.reduceat(c[flat], starts) if len(flat) else np.zeros(len(sizes)) for c in columns]
+    tail = F.xxhash64(F.expr("shiftright(piece, 8) & 16777215"))
+    return strings.select("piece", "n", F.pmod(tail, F.lit(groups)).alias("tail")).groupBy("tail").applyInArrow(
+        run, "bucket long, piece long, value double"
+    )
 
 
-def token_lengths(tokens: DataFrame) -> DataFrame:
-    """``piece``, training count ``n`` and ``value``, log10 of the token's probability."""
-    coded = pin(coded_tokens(tokens))
-    strings = coded.where("codes IS NULL")
-    found = pin(string_lengths(pin(strings.groupBy("piece").agg(F.sum("n").alias("n")))))
-    known = strings.select("block", "code", "piece").join(found, "piece").select(F.col("block").alias("of"), "code", "value")
+def lengths_by_block(parts: DataFrame, found: DataFrame) -> DataFrame:
+    """The strings of each block and bucket with their values: ``of``, ``n``, ``strings``, ``values``."""
 
-    def run(rows: pa.Table, vocabulary: pa.Table) -> pa.Table:
-        _, (values,) = _sums(rows.column("codes"), _values(vocabulary, ["value"]))
-        return pa.table({"piece": rows.column("item"), "n": rows.column("n"), "value": values})
+    def run(own: pa.Table, known: pa.Table) -> pa.Table:
+        pieces, values = known.column("piece").to_numpy(), known.column("value").to_numpy()
+        order = np.argsort(pieces)
+        pieces, values = pieces[order], values[order]
+        given = zip(own.column("n").to_pylist(), own.column("strings").to_pylist())
+        out = [packed(values[np.searchsorted(pieces, unpacked_strings(data, n))]) for n, data in given]
+        return pa.table({
+            "of": own.column("block"), "n": own.column("n"), "strings": own.column("strings"), "values": pa.array(out, pa.binary())
+        })
 
-    return (
-        coded.where("codes IS NOT NULL").select("block", "item", "n", "codes").groupBy("block")
-        .cogroup(known.groupBy("of")).applyInArrow(run, "piece binary, n long, value double")
+    return parts.select("bucket", "block", "n", "strings").groupBy("bucket").cogroup(found.groupBy("bucket")).applyInArrow(
+        run, "of long, n long, strings binary, values binary"
     )
 
 
@@ -256,25 +351,59 @@ def scored(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "
 
     ``base_score`` is the smoothed unigram score of the tokens, ``score`` the log10 probability by the model.
     """
-    coded = pin(coded_texts(docs, training, key, text))
-    vocabulary = coded.where("codes IS NULL").select("block", "code", "piece", "n")
+    coded = pin(coded_texts(docs, training, key, text, BLOCK_BYTES))
+    vocabulary = coded.where("piece IS NOT NULL").select(F.col("block").alias("of"), "piece", "n")
     tokens = pin(vocabulary.groupBy("piece").agg(F.sum("n").alias("n")))
     total, kinds = tokens.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
-    known = vocabulary.select("block", "code", "piece").join(pin(token_lengths(tokens)), "piece")
-    known = known.select(F.col("block").alias("of"), "code", "n", "value")
+    blobs = coded.where("strings IS NOT NULL")
+    entries = blobs.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    bits = max(0, -(-entries // ENTRIES) - 1).bit_length()
+    parts = dealt(blobs, bits)
+    strings = pin(counted(parts))
+    found = pin(string_lengths(strings, bits))
+    unpin(strings)
+    known = vocabulary.drop("n").join(tokens, "piece").select("of", "piece", "n")
+    known = known.unionByName(lengths_by_block(parts, found), allowMissingColumns=True)
     kind = coded.schema["item"].dataType.simpleString()
 
-    def run(rows: pa.Table, words: pa.Table) -> pa.Table:
-        counts, values = _values(words, ["n", "value"])
+    def run(rows: pa.Table, given: pa.Table) -> pa.Table:
+        words = given.filter(pc.is_valid(given.column("piece")))
+        counts = words.column("n").to_numpy()
         base = np.log10((counts + 0.1) / (total + 0.1 * (kinds + 1)))
-        sizes, (base, met, value) = _sums(rows.column("codes"), [base, (counts > 0).astype(np.int64), values])
+        blobs = given.filter(pc.is_valid(given.column("strings"))).select(["n", "strings", "values"])
+        size = sum(blobs.column("n").to_pylist())
+        strings, values, at = np.empty(size, np.int64), np.empty(size), 0
+        for n, one, two in zip(*(c.to_pylist() for c in blobs.columns)):
+            strings[at : at + n], values[at : at + n] = unpacked_strings(one, n), unpacked(two, n, np.float64)
+            at += n
+        order = np.argsort(strings)
+        strings, values = strings[order], values[order]
+        pieces = words.column("piece").combine_chunks()
+        end = pc.index_in(pa.scalar(b"", pa.binary()), value_set=pieces).as_py()
+        out = {k: [] for k in ("n_tokens", "n_known", "base_score", "score")}
+        for batch in rows.to_batches():
+            lines = batch.column("line").cast(pa.string())
+            many = len(lines)
+            offsets, codes, own = words_of(lines)
+            places = pc.index_in(own.cast(pa.binary()), value_set=pieces).to_numpy(zero_copy_only=False)[codes].astype(np.int64)
+            row = np.repeat(np.arange(many), np.diff(offsets))
+            out["n_tokens"].append(np.diff(offsets) + 1)
+            out["n_known"].append(np.bincount(row[counts[places] > 0], minlength=many) + int(counts[end] > 0))
+            out["base_score"].append(np.bincount(row, base[places], many) + base[end])
+            score = np.zeros(many)
+            for line, met in windows(lines):
+                distinct, where = np.unique(met, return_inverse=True)
+                score += np.bincount(line, values[np.searchsorted(strings, distinct)][where], many)
+            out["score"].append(score)
+        sums = {k: np.concatenate(v) for k, v in out.items()}
         return pa.table({
-            key: rows.column("item"), "training": rows.column("train"), "n_tokens": sizes, "n_known": met.astype(np.int64),
-            "train_tokens": np.full(len(sizes), total), "base_score": base, "score": value,
+            key: rows.column("item"), "training": rows.column("train"), "n_tokens": sums["n_tokens"].astype(np.int64),
+            "n_known": sums["n_known"].astype(np.int64), "train_tokens": np.full(len(rows), total),
+            "base_score": sums["base_score"], "score": sums["score"],
         })
 
     return (
-        coded.where("codes IS NOT NULL").select("block", "item", "train", "codes").groupBy("block")
+        coded.where("line IS NOT NULL").select("block", "item", "train", "line").groupBy("block")
         .cogroup(known.groupBy("of"))
         .applyInArrow(
             run,

@@ -221,25 +221,23 @@ def test_vectors_agree_with_brute_force():
     assert truth[a, b].all() and len(set(zip(a.tolist(), b.tolist()))) >= 0.97 * truth.sum()
 
 
-def test_partial_matching_agrees_with_a_plain_trie(documents):
-    given = {r.doc_id: r.text for r in documents.limit(60).collect()}
-    docs = documents.where(F.col("doc_id").isin(list(given)))
-    counts, contexts = collections.Counter(), collections.defaultdict(collections.Counter)
-    for i, text in given.items():
-        if zlib.crc32(str(i).encode()) % 10:
-            counts.update(words(text) + [b""])
-    for token, n in counts.items():
-        data = b" " + token + b" "
+def plain_lengths(texts, training):
+    """log10 of the probability of each text by a trie of dictionaries over the whole training texts."""
+    line = lambda text: b" " + b"".join(w + b" " for w in words(text)) + b" "
+    contexts = collections.defaultdict(collections.Counter)
+    for text in training:
+        data = line(text)
         for p in range(1, len(data)):
             for j in range(min(ppm.ORDER, p) + 1):
-                contexts[data[p - j : p]][data[p]] += n
+                contexts[data[p - j : p]][data[p]] += 1
 
-    def code(token):
-        data, out = b" " + token + b" ", 0.0
+    def code(text):
+        data, out = line(text), 0.0
         for p in range(1, len(data)):
             hidden = set()
             for j in range(min(ppm.ORDER, p), -1, -1):
-                left = {s: n for s, n in contexts[data[p - j : p]].items() if s not in hidden}
+                seen = contexts.get(data[p - j : p], {})
+                left = {s: n for s, n in seen.items() if s not in hidden} if hidden else seen
                 if data[p] in left:
                     out += math.log10((2 * left[data[p]] - 1) / (2 * sum(left.values())))
                     break
@@ -250,10 +248,50 @@ def test_partial_matching_agrees_with_a_plain_trie(documents):
                 out -= math.log10(256 - len(hidden))
         return out
 
+    return [code(t) for t in texts]
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_partial_matching_agrees_with_a_plain_trie(spark, documents, odd, empty, monkeypatch, small):
+    if small:  # several blocks, buckets and groups
+        for name, size in (("BLOCK_BYTES", 3000), ("ENTRIES", 500), ("GROUP", 300)):
+            monkeypatch.setattr(ppm, name, size)
     training = F.crc32(F.col("doc_id").cast("string")) % 10 != 0
-    total, kinds = sum(counts.values()), len(counts)
-    for r in ppm.scored(docs, training).collect():
-        own = words(given[r.doc_id]) + [b""]
-        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(own), sum(counts[w] > 0 for w in own), total)
-        assert r.score == pytest.approx(sum(map(code, own)), rel=1e-9)
-        assert r.base_score == pytest.approx(sum(math.log10((counts[w] + 0.1) / (total + 0.1 * (kinds + 1))) for w in own), rel=1e-9)
+    some = documents.where("length(text) < 4000").orderBy("doc_id").limit(25).select("doc_id", "text")
+    for docs in (some, odd.select("doc_id", "text")):
+        given = [(r.doc_id, r.text) for r in docs.collect()]
+        learned = [t for i, t in given if i is not None and zlib.crc32(str(i).encode()) % 10]
+        counts = collections.Counter(w for t in learned for w in words(t) + [b""])
+        total, kinds = sum(counts.values()), len(counts)
+        unigram = lambda own: sum(math.log10((counts[w] + 0.1) / (total + 0.1 * (kinds + 1))) for w in own)
+        lengths = plain_lengths([t for _, t in given], learned)
+        want = sorted((str(i), len(words(t)) + 1, sum(counts[w] > 0 for w in words(t) + [b""]), score, unigram(words(t) + [b""]))
+                      for (i, t), score in zip(given, lengths))
+        got = sorted((str(r.doc_id), r.n_tokens, r.n_known, r.score, r.base_score) for r in ppm.scored(docs, training).collect())
+        assert [g[:3] for g in got] == [w[:3] for w in want]
+        assert [x for g in got for x in g[3:]] == pytest.approx([x for w in want for x in w[3:]], rel=1e-9)
+    assert ppm.scored(empty, training).count() == 0
+    untrained = ppm.scored(odd, F.lit(False)).where("doc_id = 4").first()
+    assert untrained.score == pytest.approx(-5 * math.log10(256)) and untrained.train_tokens == 0
+
+
+def test_partial_matching_minds_the_order_of_words(spark):
+    rows = [(1, "the cat sat on the mat"), (2, "mat the on sat cat the"), (3, "the cat sat on the mat")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    score = {r.doc_id: r.score for r in ppm.scored(docs, F.col("doc_id") == 1).collect()}
+    assert score[1] == score[3] > score[2] + 1
+
+
+def test_byte_strings_do_not_depend_on_the_stretch():
+    lines = ppm.lines_of(pa.array(["", "ab  c", "x" * 20, "A\nÉ中", " "]))[0]
+    assert lines.to_pylist() == ["  ", " ab c  ", " " + "x" * 20 + "  ", " a É中  ", "  "]
+    whole = [np.concatenate(c).tolist() for c in zip(*ppm.windows(lines))]
+    data = [line.encode() for line in lines.to_pylist()]
+    plain = [(i, int.from_bytes(b"\1" + d[max(0, p - ppm.ORDER) : p + 1], "big")) for i, d in enumerate(data) for p in range(1, len(d))]
+    assert list(zip(*whole)) == plain
+    for width in (1, 2, 3, 7, 11):
+        assert [np.concatenate(c).tolist() for c in zip(*ppm.windows(lines, width))] == whole
+    strings, counts = ppm.block_strings(lines, np.array([True, True, False, True, True]), 3)
+    met = collections.Counter(s for i, s in plain if i != 2)
+    assert dict(zip(strings.tolist(), counts.tolist())) == {s: met[s] for _, s in plain}
+    assert ppm.unpacked_strings(ppm.packed_strings(strings), len(strings)).tolist() == strings.tolist()
