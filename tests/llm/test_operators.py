@@ -291,7 +291,9 @@ def test_byte_strings_do_not_depend_on_the_stretch():
     assert list(zip(*whole)) == plain
     for width in (1, 2, 3, 7, 11):
         assert [np.concatenate(c).tolist() for c in zip(*ppm.windows(lines, width))] == whole
-    strings, counts = ppm.block_strings(lines, np.array([True, True, False, True, True]), 3)
+    held = ppm.Strings()
+    held.add(lines, np.array([True, True, False, True, True]), 3)
+    strings, counts = held.all()
     met = collections.Counter(s for i, s in plain if i != 2)
     assert dict(zip(strings.tolist(), counts.tolist())) == {s: met[s] for _, s in plain}
     assert ppm.unpacked_strings(ppm.packed_strings(strings), len(strings)).tolist() == strings.tolist()
