@@ -469,6 +469,15 @@ def marked(vectors: DataFrame, key: str, vector: str, label: str) -> DataFrame:
     return rows.mapInArrow(run, f"item {kind}, label string, vector {numbers}, mark binary")
 
 
+def one_id(good: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs ``a``, ``b`` that hold together the classes whose rows share an id, by the smallest class of the id."""
+    often = good.groupBy("item").agg(F.count("*").alias("rows")).where("rows > 1")
+    rows = good.select("label", "mark", "item").join(often, "item", "left_semi").withColumnRenamed("item", "id")
+    members = rows.join(classes.select("label", "mark", "item"), ["label", "mark"]).select("id", "item").distinct()
+    first = members.groupBy("id").agg(F.min("item").alias("a"))
+    return members.join(first, "id").where("a <> item").select("a", F.col("item").alias("b"))
+
+
 def near_duplicates(
     vectors: DataFrame, radius: float = RADIUS, key: str = "vec_id", vector: str = "embedding", label: str = "label"
 ) -> DataFrame:
@@ -476,17 +485,20 @@ def near_duplicates(
     rows = marked(vectors, key, vector, label)
     good = rows.where("item IS NOT NULL AND label IS NOT NULL AND mark IS NOT NULL")
     classes = pin(
-        good.groupBy("label", "mark").agg(F.min("item").alias("item"), F.first("vector").alias("vector"), F.count("*").alias("n"))
+        good.groupBy("label", "mark").agg(F.min("item").alias("id"), F.first("vector").alias("vector"), F.count("*").alias("n"))
+        .withColumn("item", F.monotonically_increasing_id())  # a class is searched by a number of its own
     )
     links, _ = audited(classes, radius)
     both = links.union(links.select("b", "a"))
     counts = both.join(classes.select(F.col("item").alias("b"), "n"), "b").groupBy("a").agg(F.sum("n").alias("others"))
-    found = components(links)
-    known = pin(
+    found = components(links.union(one_id(good, classes)))
+    joined = pin(
         classes.join(counts, F.col("item") == F.col("a"), "left").join(found, F.col("item") == F.col("node"), "left")
-        .select("label", "mark", (F.coalesce("others", F.lit(0)) + F.col("n") - 1).alias("n_links"),
-                F.coalesce("component", "item").alias("component"))
+        .select("label", "mark", "id", (F.coalesce("others", F.lit(0)) + F.col("n") - 1).alias("n_links"),
+                F.coalesce("component", "item").alias("of"))
     )
+    least = joined.groupBy("of").agg(F.min("id").alias("component"))
+    known = pin(joined.join(least, "of").select("label", "mark", "n_links", "component"))
     # Rows without class have a null label, mark or item, so the left join leaves them alone.
     out = rows.withColumn("label", F.when(F.col("item").isNotNull(), F.col("label"))).join(known, ["label", "mark"], "left")
     component = F.coalesce("component", "item")

@@ -183,3 +183,15 @@ def test_accept_keeps_columns_of_any_name(spark):
         assert sorted(map(str, got.collect())) == sorted(
             f"Row(doc_id={d!r}, text={t!r}, {names[0]}={x!r}, {names[1]}={y})" for d, t, x, y in rows[2:3] + rows[4:]
         )
+
+
+def test_vectors_that_share_an_id(spark):
+    """Rows of one id hold their components together, also across labels; each row keeps its own links."""
+    a, b, c = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 1.0]
+    rows = [(5, a, 1), (5, b, 1), (9, [0.01, 1.0, 0.0], 1), (7, [1.0, 0.01, 0.0], 1), (8, c, 2), (5, c, 2), (3, c, 2), (4, c, 1), (6, None, 1)]
+    df = spark.createDataFrame([(i, v, n) for i, v, n in rows], "vec_id long, embedding array<double>, label long")
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in flat_graph.near_duplicates(df).collect())
+    assert got == [
+        (3, 2, 3, True), (4, 0, 4, True), (5, 1, 3, False), (5, 1, 3, False), (5, 2, 3, False),
+        (6, 0, 6, True), (7, 1, 3, False), (8, 2, 3, False), (9, 1, 3, False),
+    ]
