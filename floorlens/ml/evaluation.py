@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from floorlens.functions.exact import count_if
 from floorlens.operators.ranks import Ranking, with_global_ranks
+from floorlens.operators.running import sums_before
 
 SEED = 42
-BANDS = 200
 # Thresholds of the sweep.
 THRESHOLDS = [0.20, 0.25, 0.30, 0.35, 0.40, 0.45, 0.50, 0.55, 0.60, 0.65, 0.70, 0.75, 0.80]
 
@@ -98,6 +98,18 @@ def class_report(df: DataFrame, label: str, prediction: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).orderBy("class")
 
 
+def report_averages(report: DataFrame) -> DataFrame:
+    """Accuracy and the plain and support-weighted means over the classes of ``class_report``."""
+    measures, support = ["precision", "recall", "f1_score"], F.sum("support")
+    plain = [F.avg(m).alias(m) for m in measures]
+    weighted = [_rate(F.sum(F.col(m) * F.col("support")), support).alias(m) for m in measures]
+    # Recall of a class times its support is what the class got right.
+    accuracy = [_rate(F.sum(F.col("recall") * F.col("support")), support).alias(m) for m in measures]
+    rows = [("accuracy", accuracy), ("macro avg", plain), ("weighted avg", weighted)]
+    parts = [report.agg(*columns, support.alias("support")).select(F.lit(name).alias("average"), "*") for name, columns in rows]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def roc_auc(df: DataFrame, label: str, score: str, by: list[str] | None = None) -> DataFrame:
     """Exact area under the ROC curve.
 
@@ -112,68 +124,49 @@ def roc_auc(df: DataFrame, label: str, score: str, by: list[str] | None = None)
 
 
 def _running_histogram(df: DataFrame, label: str, score: str, by: list[str]) -> DataFrame:
-    """Class counts per distinct score with the number of rows of each class scoring lower.
-
-    The running sum over all distinct scores is taken in two steps: inside bands of the score and
-    over the totals of those bands. Bands are cut at quantiles, so none holds more than its share.
-    """
-    edges = df.agg(F.percentile_approx(score, [i / BANDS for i in range(1, BANDS)], 10 * BANDS).alias("edges"))
-    histogram = (
-        df.groupBy(*by, F.col(score).alias("score"))
-        .agg(count_if(F.col(label) == 1).alias("pos"), count_if(F.col(label) == 0).alias("neg"))
-        .crossJoin(F.broadcast(edges))
-        .withColumn("band", F.size(F.filter("edges", lambda edge: edge <= F.col("score"))))
-        .drop("edges")
-    )
-    inside = Window.partitionBy(*by, "band").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    earlier = Window.partitionBy(*by).orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        histogram.groupBy(*by, "band")
-        .agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
-        .select(
-            *by, "band",
-            F.coalesce(F.sum("p").over(earlier), F.lit(0)).alias("pos_before"),
-            F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("neg_before"),
-        )
-    )
-    # At most BANDS rows per group.
-    return (
-        histogram.join(F.broadcast(offsets), [*by, "band"])
-        .withColumn("pos_below", F.coalesce(F.sum("pos").over(inside), F.lit(0)) + F.col("pos_before"))
-        .withColumn("neg_below", F.coalesce(F.sum("neg").over(inside), F.lit(0)) + F.col("neg_before"))
-        .drop("pos_before", "neg_before", "band")
+    """Class counts per distinct score with the number of rows of each class scoring lower."""
+    histogram = df.groupBy(*by, F.col(score).alias("score")).agg(
+        count_if(F.col(label) == 1).alias("pos"), count_if(F.col(label) == 0).alias("neg")
     )
+    return sums_before(histogram, ["score"], {"pos_below": "pos", "neg_below": "neg"}, by)
 
 
 def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
-    """False and true positive rate when everything scoring at least the threshold is flagged."""
-    return _curve(df, label, score).select(
+    """False and true positive rate when everything scoring at least the threshold is flagged.
+
+    The curve starts where nothing is flagged, at (0, 0) without a threshold.
+    """
+    points = _curve(df, label, score).select(
         "threshold",
         _rate(F.col("fp"), F.col("negatives")).alias("false_positive_rate"),
         _rate(F.col("tp"), F.col("positives")).alias("true_positive_rate"),
-    ).orderBy(F.desc("threshold"))
+    )
+    return _with_end(points, 0.0, 0.0).orderBy(F.desc_nulls_first("threshold"))
 
 
 def precision_recall_points(df: DataFrame, label: str, score: str) -> DataFrame:
-    return _curve(df, label, score).select(
+    """Precision and recall per threshold; the curve ends at precision 1 and recall 0, without a threshold."""
+    points = _curve(df, label, score).select(
         "threshold",
         _rate(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
         _rate(F.col("tp"), F.col("positives")).alias("recall"),
-    ).orderBy(F.desc("threshold"))
+    )
+    return _with_end(points, 1.0, 0.0).orderBy(F.desc_nulls_first("threshold"))
+
+
+def _with_end(points: DataFrame, first: float, second: float) -> DataFrame:
+    return points.unionByName(points.sparkSession.createDataFrame([(None, first, second)], points.schema))
 
 
 def _curve(df: DataFrame, label: str, score: str) -> DataFrame:
-    sizes = df.agg(
-        count_if(F.col(label) == 1).alias("positives"), count_if(F.col(label) == 0).alias("negatives")
-    )
-    return (
-        _running_histogram(df, label, score, [])
-        .crossJoin(F.broadcast(sizes))
-        .select(
-            F.col("score").alias("threshold"), "positives", "negatives",
-            (F.col("positives") - F.col("pos_below")).alias("tp"),
-            (F.col("negatives") - F.col("neg_below")).alias("fp"),
-        )
+    """Rows of each class at or above each distinct score, from one pass over the scored rows."""
+    histogram = _running_histogram(df, label, score, [])
+    # One row.
+    sizes = histogram.agg(F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"))
+    return histogram.crossJoin(F.broadcast(sizes)).select(
+        F.col("score").alias("threshold"), "positives", "negatives",
+        (F.col("positives") - F.col("pos_below")).alias("tp"),
+        (F.col("negatives") - F.col("neg_below")).alias("fp"),
     )
 
 

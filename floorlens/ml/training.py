@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from floorlens.ml import datasets, evaluation, pipelines, scoring
-from floorlens.session import pin
+from floorlens.session import pin, unpin
 
 LOGISTIC = "Logistic Regression"
 FOREST = "Random Forest"
@@ -93,20 +93,38 @@ def _metrics_frame(df: DataFrame, records: list, extra: str = "") -> DataFrame:
     return df.sparkSession.createDataFrame(records, ", ".join(fields) + extra)
 
 
-def cross_validate(rows: DataFrame, columns, build: Callable[[int], object], spec: datasets.Dataset, key: str, k: int = 5) -> DataFrame:
-    """Metrics of each of k stratified folds; k fits, each distributed."""
+def cross_validate(
+    rows: DataFrame, columns, build: Callable[[int], object], spec: datasets.Dataset, key: str, k: int = 5, side_by_side: int = 2,
+) -> DataFrame:
+    """Metrics of each of k stratified folds; k fits, each distributed, some side by side."""
     folded = pin(evaluation.stratified_folds(rows, spec.target, key, k))
-    records = []
-    for fold in range(k):
+
+    def measured(fold: int) -> tuple:
         train, held = folded.where(F.col("fold") != fold), folded.where(F.col("fold") == fold)
         model = pipelines.fit(train, *columns, build(train.count()))
         seen = _accuracy(pipelines.probability(model, train, "_p"), spec.target, "_p")
         reached = _measure(pipelines.probability(model, held, "_p"), spec.target, "_p")
-        records.append((fold + 1, seen, *[float(reached[m]) for m in _METRICS]))
+        return (fold + 1, seen, *[float(reached[m]) for m in _METRICS])
+
+    with ThreadPool(side_by_side) as pool:
+        records = pool.map(measured, range(k), chunksize=1)
+    unpin(folded)
     fields = ", ".join(f"{m} double" for m in evaluation.FOLD_METRICS)
     return rows.sparkSession.createDataFrame(records, f"fold int, {fields}")
 
 
+def validate_churn(df: DataFrame, name: str, forest: pipelines.Forest = pipelines.CHURN_FOREST, k: int = 5) -> Trained:
+    """Folds of the named kind of churn model, and that kind refitted on all rows."""
+    spec, columns = datasets.CHURN, (datasets.CHURN_NUMERIC, datasets.CHURN_CATEGORICAL)
+    rows = _training_frame(df, spec, columns)
+    build = lambda size: _classifiers(spec.target, size, forest)[name]
+    folds = cross_validate(rows, columns, build, spec, "player_id", k)
+    model = pipelines.fit(rows, *columns, build(rows.count()))
+    scored = pipelines.probability(model, rows, "churn_probability")
+    reached = _measure(scored, spec.target, "churn_probability")
+    return Trained(name, model, _metrics_frame(df, [(name, *_in_order(reached))]), scored, folds)
+
+
 def train_failure(df: DataFrame, forest: pipelines.Forest = pipelines.FAILURE_FOREST, k: int = 5) -> Trained:
     """Holdout of 25 % and k folds per model; best mean AUC, then F1, is refitted on all rows."""
     spec, columns = datasets.FAILURE, (datasets.FAILURE_NUMERIC, datasets.FAILURE_CATEGORICAL)

@@ -20,11 +20,31 @@ SLA_WARNING_MINUTES = 30
 
 # ---- paging ------------------------------------------------------------------------------------
 
-def page_of(df: DataFrame, order: list[Column], page: int = 1, page_size: int = 20) -> DataFrame:
-    """One page of an ordered result; Spark keeps only the first page * page_size rows per task."""
+def page_of(df: DataFrame, order: list[str], page: int = 1, page_size: int = 20, after: dict | None = None) -> DataFrame:
+    """One page of an ordered result; Spark keeps only the first page * page_size rows per task.
+
+    With ``after``, the last row of the page before as a dict (further keys are ignored), the page is the first behind that
+    row: a task keeps page_size rows however deep the page lies. ``order`` is as for ``_by`` and ends with an id.
+    """
     if page < 1 or page_size < 1:
         raise ValueError("page and page_size start at 1")
-    return df.orderBy(*order).offset((page - 1) * page_size).limit(page_size)
+    if after is not None:
+        return df.where(behind(df, order, after)).orderBy(*_by(*order)).limit(page_size)
+    return df.orderBy(*_by(*order)).offset((page - 1) * page_size).limit(page_size)
+
+
+def behind(df: DataFrame, order: list[str], row: dict) -> Column:
+    """Whether a row comes after ``row`` in the order; nulls are lowest, as Spark sorts them."""
+    found, tied = F.lit(False), F.lit(True)
+    for name in order:
+        key = name.removeprefix("+")
+        value, own = F.lit(row[key]).cast(df.schema[key].dataType), F.col(key)
+        if name.startswith("+"):
+            later = own.isNotNull() if row[key] is None else F.coalesce(own > value, F.lit(False))
+        else:
+            later = F.lit(False) if row[key] is None else F.coalesce(own < value, F.lit(True))
+        found, tied = found | (tied & later), tied & own.eqNullSafe(value)
+    return found
 
 
 def envelope(df: DataFrame, page: int = 1, page_size: int = 20) -> DataFrame:
@@ -113,8 +133,8 @@ def high_risk(floor: Floor) -> DataFrame:
     )
 
 
-def high_risk_machines(floor: Floor, page: int = 1, page_size: int = 20) -> DataFrame:
-    order = _by("critical_event_count", "total_downtime_minutes", "+machine_id")
+def high_risk_machines(floor: Floor, page: int = 1, page_size: int = 20, after: dict | None = None) -> DataFrame:
+    order = ["critical_event_count", "total_downtime_minutes", "+machine_id"]
     return page_of(high_risk(floor), order, page, page_size)
 
 
@@ -150,7 +170,7 @@ def segment_distribution(segments: DataFrame) -> DataFrame:
 def churn_risk(
     churn: DataFrame, risk_level: str | None = None, loyalty_tier: str | None = None,
     home_region: str | None = None, minimum_probability: float = 0.0, search: str | None = None,
-    page: int = 1, page_size: int = 20,
+    page: int = 1, page_size: int = 20, after: dict | None = None,
 ) -> DataFrame:
     found = matching(
         churn,
@@ -158,18 +178,18 @@ def churn_risk(
         contains={"player_id": search},
         at_least={"churn_probability": minimum_probability},
     )
-    return page_of(found, _by("churn_probability", "player_net_revenue", "+player_id"), page, page_size)
+    return page_of(found, ["churn_probability", "player_net_revenue", "+player_id"], page, page_size, after)
 
 
 def player_segments(
     segments: DataFrame, segment: str | None = None, loyalty_tier: str | None = None, search: str | None = None,
-    page: int = 1, page_size: int = 20,
+    page: int = 1, page_size: int = 20, after: dict | None = None,
 ) -> DataFrame:
     found = matching(
         segments, equal={"player_segment": segment, "loyalty_tier": loyalty_tier}, contains={"player_id": search}
     )
-    order = _by("estimated_player_value", "player_net_revenue", "total_wager", "+player_id")
-    return page_of(found, order, page, page_size)
+    order = ["estimated_player_value", "player_net_revenue", "total_wager", "+player_id"]
+    return page_of(found, order, page, page_size, after)
 
 
 def one(df: DataFrame, key: str, value: str) -> DataFrame:
@@ -207,7 +227,7 @@ def machine_kpis(failure: DataFrame, anomalies: DataFrame) -> DataFrame:
 def failure_risk(
     failure: DataFrame, risk_level: str | None = None, manufacturer: str | None = None,
     location_id: str | None = None, minimum_probability: float = 0.0, search: str | None = None,
-    page: int = 1, page_size: int = 20,
+    page: int = 1, page_size: int = 20, after: dict | None = None,
 ) -> DataFrame:
     found = matching(
         failure,
@@ -215,29 +235,29 @@ def failure_risk(
         contains={"machine_id": search},
         at_least={"failure_probability": minimum_probability},
     )
-    order = _by("failure_probability", "revenue_at_risk", "total_downtime_minutes", "+machine_id")
-    return page_of(found, order, page, page_size)
+    order = ["failure_probability", "revenue_at_risk", "total_downtime_minutes", "+machine_id"]
+    return page_of(found, order, page, page_size, after)
 
 
 def anomalies(
     output: DataFrame, risk_level: str | None = None, manufacturer: str | None = None,
-    machine_id: str | None = None, anomaly_only: bool = True, page: int = 1, page_size: int = 20,
+    machine_id: str | None = None, anomaly_only: bool = True, page: int = 1, page_size: int = 20, after: dict | None = None,
 ) -> DataFrame:
     found = output.where("isolation_forest_anomaly_flag = 1") if anomaly_only else output
     found = matching(
         found, equal={"anomaly_risk_level": risk_level, "manufacturer": manufacturer, "machine_id": machine_id}
     )
-    order = _by("anomaly_score", "revenue_exposure", "+activity_date", "+machine_id")
-    return page_of(found, order, page, page_size)
+    order = ["anomaly_score", "revenue_exposure", "+activity_date", "+machine_id"]
+    return page_of(found, order, page, page_size, after)
 
 
-def maintenance_ranking(priority: DataFrame, page: int = 1, page_size: int = 20) -> DataFrame:
-    order = _by("+maintenance_priority_rank", "failure_probability", "+machine_id")
-    return page_of(priority, order, page, page_size)
+def maintenance_ranking(priority: DataFrame, page: int = 1, page_size: int = 20, after: dict | None = None) -> DataFrame:
+    order = ["+maintenance_priority_rank", "failure_probability", "+machine_id"]
+    return page_of(priority, order, page, page_size, after)
 
 
-def anomaly_ranking(summary: DataFrame, page: int = 1, page_size: int = 20) -> DataFrame:
-    return page_of(summary, _by("+priority_rank", "operational_priority_score", "+machine_id"), page, page_size)
+def anomaly_ranking(summary: DataFrame, page: int = 1, page_size: int = 20, after: dict | None = None) -> DataFrame:
+    return page_of(summary, ["+priority_rank", "operational_priority_score", "+machine_id"], page, page_size, after)
 
 
 def machine_detail(
@@ -313,7 +333,7 @@ def forecast_summary(daily: DataFrame, weekly: DataFrame, daily_metrics: DataFra
 def forecast_list(
     output: DataFrame, period: str, location_id: str | None = None, region: str | None = None,
     forecast_status: str | None = None, start_date: str | None = None, end_date: str | None = None,
-    page: int = 1, page_size: int = 50,
+    page: int = 1, page_size: int = 50, after: dict | None = None,
 ) -> DataFrame:
     """Latest periods first; ``period`` is activity_date or week_start_date."""
     found = matching(
@@ -321,7 +341,12 @@ def forecast_list(
         equal={"location_id": location_id, "region": region, "forecast_status": forecast_status},
         between=(period, start_date, end_date),
     )
-    return page_of(found, _by(period, "+location_id"), page, page_size)
+    return page_of(found, [period, "+location_id"], page, page_size, after)
+
+
+def location_errors(summary: DataFrame) -> DataFrame:
+    """Locations by the mean error of the weekly forecast that was shipped, unknown errors last."""
+    return summary.orderBy(F.asc_nulls_last("average_selected_absolute_error"), "location_id")
 
 
 def model_comparison(daily_metrics: DataFrame, weekly_metrics: DataFrame) -> DataFrame:

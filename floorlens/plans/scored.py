@@ -130,7 +130,7 @@ def forecast_choice(floor: Floor) -> DataFrame:
 
 
 def churn_metrics(floor: Floor) -> DataFrame:
-    scored = churn_output(floor)
+    scored = pin(churn_output(floor).select("churn_flag", "churn_probability", "predicted_churn_flag"))
     auc = evaluation.roc_auc(scored, "churn_flag", "churn_probability")
     return evaluation.classification_metrics(scored, "churn_flag", "predicted_churn_flag").crossJoin(F.broadcast(auc))
 
@@ -139,6 +139,21 @@ def churn_class_report(floor: Floor) -> DataFrame:
     return evaluation.class_report(churn_output(floor), "churn_flag", "predicted_churn_flag")
 
 
+def churn_report_averages(floor: Floor) -> DataFrame:
+    return evaluation.report_averages(pin(churn_class_report(floor)))
+
+
+def second_page(listing: Callable[..., DataFrame], rows: DataFrame, page_size: int, **filters) -> DataFrame:
+    """The page behind the last row of the first one, by its keys."""
+    held = pin(rows)
+    last = listing(held, page_size=page_size, **filters).tail(1)  # one row
+    return listing(held, page_size=page_size, after=last[0].asDict(), **filters) if last else held.limit(0)
+
+
+def location_errors(floor: Floor) -> DataFrame:
+    return lookups.location_errors(scoring.location_accuracy(weekly_output(floor)))
+
+
 def anomaly_agreement(floor: Floor) -> DataFrame:
     return evaluation.classification_metrics(
         anomaly(floor), "rule_based_anomaly_flag", "isolation_forest_anomaly_flag"
@@ -159,7 +174,7 @@ def churn_split(floor: Floor) -> DataFrame:
 
 
 def fold_metrics(floor: Floor) -> DataFrame:
-    folded = _folded(floor)
+    folded = pin(_folded(floor).select("fold", "churn_flag", "churn_probability", "predicted_churn_flag"))
     by_fold = evaluation.classification_metrics(folded, "churn_flag", "predicted_churn_flag", ["fold"])
     auc = evaluation.roc_auc(folded, "churn_flag", "churn_probability", ["fold"])
     return by_fold.join(auc, "fold").select(
@@ -241,6 +256,7 @@ ML: dict[str, Callable[[Floor], DataFrame]] = {
     "ml4_stratified_split": churn_split,
     "ml5_binary_metrics": churn_metrics,
     "ml5_class_report": churn_class_report,
+    "ml5_report_averages": churn_report_averages,
     "ml6_fold_metrics": fold_metrics,
     "ml6_fold_summary": fold_summary,
     "ml7_threshold_sweep": threshold_sweep,
@@ -292,6 +308,7 @@ LOOKUPS: dict[str, Callable[[Floor], DataFrame]] = {
     "a10_anomalies": lambda floor: lookups.anomalies(anomaly_output(floor), risk_level="critical", page=1, page_size=50),
     "a11_maintenance_ranking": lambda floor: lookups.maintenance_ranking(maintenance(floor), page=2),
     "a12_anomaly_ranking": lambda floor: lookups.anomaly_ranking(anomaly_summary(floor), page=1),
+    "a12_next_page": lambda floor: second_page(lookups.anomaly_ranking, anomaly_summary(floor), 20),
     "a13_machine_detail": lambda floor: lookups.machine_detail(
         failure_output(floor), maintenance(floor), anomaly_summary(floor), "m7"
     ),
@@ -306,8 +323,12 @@ LOOKUPS: dict[str, Callable[[Floor], DataFrame]] = {
         daily_output(floor), "activity_date", region="europe", forecast_status="review", start_date="2000-06-01",
         end_date="2001-05-31", page=2,
     ),
+    "a16_next_page": lambda floor: second_page(
+        lookups.forecast_list, daily_output(floor), 50, period="activity_date", region="europe", forecast_status="review"
+    ),
     "a17_weekly_list": lambda floor: lookups.forecast_list(weekly_output(floor), "week_start_date", location_id="l3"),
     "a18_model_comparison": lambda floor: lookups.model_comparison(daily_metrics(floor), weekly_metrics(floor)),
+    "a18_location_errors": location_errors,
     "a19_location_forecast": lambda floor: lookups.location_forecast(daily_output(floor), weekly_output(floor), "l3"),
     "a19_location_summary": lambda floor: lookups.location_forecast_summary(
         daily_output(floor), weekly_output(floor), "l3"

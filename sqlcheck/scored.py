@@ -57,6 +57,14 @@ SELECT 1 AS class, {METRICS['precision']} AS precision, {METRICS['recall']} AS r
 UNION ALL
 SELECT 0, {rate(TN, f'({TN}+{FN})')}, {rate(TN, f'({TN}+{FP})')}, {rate(f'(2*{TN})', f'(2*{TN}+{FP}+{FN})')}, {TN} + {FP}
 FROM (SELECT {_churn_counts} FROM churn_output) AS c"""
+_report = f"({BODY['ml5_class_report']}) AS r"
+BODY["ml5_report_averages"] = f"""
+SELECT 'accuracy' AS average, {{0}} AS precision, {{0}} AS recall, {{0}} AS f1_score, sum(support) AS support FROM {_report}
+UNION ALL
+SELECT 'macro avg', avg(precision), avg(recall), avg(f1_score), sum(support) FROM {_report}
+UNION ALL
+SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+  sum(f1_score * support) / sum(support), sum(support) FROM {_report}""".replace("{0}", "sum(recall * support) / sum(support)")
 _place = "row_number() OVER (PARTITION BY churn_flag ORDER BY md5(player_id || '|42'), player_id)"
 add("churn_folded", f"SELECT *, ({_place} - 1) % 5 AS fold FROM churn_output")
 BODY["ml4_stratified_folds"] = "SELECT player_id, churn_flag, fold FROM churn_folded"
@@ -105,9 +113,11 @@ SELECT threshold, {{0}} FROM (
     sum(churn_flag) OVER () AS positives, count(*) OVER () - sum(churn_flag) OVER () AS negatives
   FROM churn_scored WINDOW w AS (ORDER BY churn_probability DESC)) AS c"""
 BODY["ml27_roc"] = _curve.format(
-    f"{rate('fp', 'negatives')} AS false_positive_rate, {rate('tp', 'positives')} AS true_positive_rate")
+    f"{rate('fp', 'negatives')} AS false_positive_rate, {rate('tp', 'positives')} AS true_positive_rate"
+) + " UNION ALL SELECT NULL, 0.0e0, 0.0e0"
 BODY["ml27_precision_recall"] = _curve.format(
-    f"{rate('tp', '(tp + fp)')} AS precision, {rate('tp', 'positives')} AS recall")
+    f"{rate('tp', '(tp + fp)')} AS precision, {rate('tp', 'positives')} AS recall"
+) + " UNION ALL SELECT NULL, 1.0e0, 0.0e0"
 BODY["ml27_histogram"] = """
 SELECT churn_flag, least(CASE WHEN high = low THEN 15 ELSE floor((churn_probability - low) / (high - low) * 30) END, 29)::BIGINT
     AS bin, count(*) AS row_count, min(churn_probability) AS lowest, max(churn_probability) AS highest
@@ -463,6 +473,12 @@ BODY["a17_weekly_list"] = """
 SELECT * FROM weekly_out WHERE location_id = 'L3' ORDER BY week_start_date DESC LIMIT 50"""
 BODY["a18_model_comparison"] = """
 SELECT 'daily' AS horizon, * FROM daily_metric UNION ALL SELECT 'weekly', * FROM weekly_metric"""
+BODY["a18_location_errors"] = BODY["ml26_location_accuracy"]
+BODY["a12_next_page"] = """
+SELECT * FROM anomaly_machine ORDER BY priority_rank, operational_priority_score DESC, machine_id LIMIT 20 OFFSET 20"""
+BODY["a16_next_page"] = """
+SELECT * FROM daily_out WHERE lower(region) = 'europe' AND forecast_status = 'Review'
+ORDER BY activity_date DESC, location_id LIMIT 50 OFFSET 50"""
 BODY["a19_location_forecast"] = """
 SELECT 'daily' AS horizon, location_id, location_name, activity_date AS period, net_gaming_revenue, predicted_revenue,
   forecast_status FROM (SELECT * FROM daily_out WHERE location_id = 'L3' ORDER BY activity_date DESC LIMIT 30) AS d

@@ -79,7 +79,9 @@ def test_auc_and_curves_against_all_pairs(spark):
     df = spark.createDataFrame(pairs, "y int, s double")
     assert evaluation.roc_auc(df, "y", "s").first()[0] == pytest.approx(_auc(pairs))
     positives = sum(y for y, _ in pairs)
-    for r in rows(evaluation.roc_points(df, "y", "s")):
+    start, *points = rows(evaluation.roc_points(df, "y", "s"))
+    assert start["threshold"] is None and start["true_positive_rate"] == start["false_positive_rate"] == 0
+    for r in points:
         tp = sum(1 for y, s in pairs if y and s >= r["threshold"])
         fp = sum(1 for y, s in pairs if not y and s >= r["threshold"])
         assert r["true_positive_rate"] == pytest.approx(tp / positives)
