@@ -84,8 +84,13 @@ def train_churn(df: DataFrame, forest: pipelines.Forest = pipelines.CHURN_FOREST
 _METRICS = ["accuracy", "precision", "recall", "f1_score", "roc_auc"]
 
 
+def _measures(reached: dict) -> list:
+    """Metrics in order; a test set of one class has no AUC."""
+    return [None if reached[m] is None else float(reached[m]) for m in _METRICS]
+
+
 def _in_order(reached: dict) -> list:
-    return [float(reached[m]) for m in _METRICS] + [int(reached[c]) for c in evaluation.CONFUSION]
+    return _measures(reached) + [int(reached[c]) for c in evaluation.CONFUSION]
 
 
 def _metrics_frame(df: DataFrame, records: list, extra: str = "") -> DataFrame:
@@ -104,7 +109,7 @@ def cross_validate(
         model = pipelines.fit(train, *columns, build(train.count()))
         seen = _accuracy(pipelines.probability(model, train, "_p"), spec.target, "_p")
         reached = _measure(pipelines.probability(model, held, "_p"), spec.target, "_p")
-        return (fold + 1, seen, *[float(reached[m]) for m in _METRICS])
+        return (fold + 1, seen, *_measures(reached))
 
     with ThreadPool(side_by_side) as pool:
         records = pool.map(measured, range(k), chunksize=1)
