@@ -229,7 +229,7 @@ def churn_checks(floor: Floor) -> DataFrame:
 def anomaly_features(floor: Floor) -> DataFrame:
     columns = ["revenue_per_active_hour", "revenue_z_score", "wager_z_score", "downtime_z_score"]
     cleaned = datasets.numeric(features.machine_anomaly(floor).select("activity_date", "machine_id", *columns), columns)
-    return datasets.fill_medians(cleaned, columns)
+    return datasets.fill_medians(pin(cleaned), columns)
 
 
 def confusion(floor: Floor) -> DataFrame:
