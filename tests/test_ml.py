@@ -1,4 +1,7 @@
+import datetime as dt
+
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -75,3 +78,38 @@ def test_unseen_category_scores(spark):
 def test_cluster_count_prefers_smaller_on_tie(spark):
     evaluated = spark.createDataFrame([(4, 0.5, 1.0), (2, 0.5, 3.0), (3, 0.4, 2.0)], "cluster_count int, silhouette_score double, inertia double")
     assert clustering.choose(evaluated) == 2
+
+
+def test_scores_follow_the_paths_of_the_trees(spark):
+    """A row's length is its leaf's depth and average path, in trees whose leaves lie at any depth."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(5000, 3))
+    groups = [pd.DataFrame({"tree": t, "_order": range(90), "_x": list(x[rng.integers(0, 5000, 90)])}) for t in range(8)]
+    grown = [isolation._grow(7)((t,), g) for t, g in enumerate(groups)]
+    trees = [tuple(g[c].to_numpy() for c in ("node", "feature", "cut", "size")) for g in grown]
+    want = np.zeros(len(x))
+    for node, feature, cut, size in trees:
+        held = {n: (f, c, s) for n, f, c, s in zip(node.tolist(), feature.tolist(), cut.tolist(), size.tolist())}
+        for i, row in enumerate(x):
+            at, depth = 1, 0
+            while held[at][0] >= 0:
+                at, depth = 2 * at + int(row[held[at][0]] > held[at][1]), depth + 1
+            want[i] += depth + float(isolation.average_path(held[at][2]))
+    assert np.allclose(isolation.path_lengths(x, [isolation.levelled(*t) for t in trees]), want, rtol=1e-12)
+
+
+def test_machine_days_are_computed_once(spark, monkeypatch):
+    """Detection reads its input once, however many passes follow; before, each pass computed it again."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    rng = np.random.default_rng(6)
+    data = [(dt.date(2024, 1, 1 + i % 28), f"M{i // 28}", "L1", i % 9 == 0, *map(float, rng.normal(size=len(datasets.ANOMALY_NUMERIC)))) for i in range(560)]
+    names = ["activity_date", "machine_id", "location_id", "flagged", *datasets.ANOMALY_NUMERIC]
+    days = spark.createDataFrame(data, names).withColumn("rule_based_anomaly_flag", F.col("flagged").cast("int")).drop("flagged")
+    found = isolation.detect(days.mapInPandas(counted, days.schema), trees=5, sample=32)
+    assert found.count() == 560 and read.value == 560
