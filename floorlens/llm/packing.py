@@ -19,6 +19,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from itertools import count
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -96,7 +97,7 @@ def differencing(sizes: list[int], windows: int) -> list[list[int]]:
             kept, other = len(one) - shared, two[::-1]
             both = [(a + b, x + y) for (a, x), (b, y) in zip(one[kept:], other)]
             merged = one[:kept] + both + other[shared:]
-        merged.sort(key=lambda w: -w[0])
+        merged.sort(key=itemgetter(0), reverse=True)
         low = merged[-1][0] if len(merged) == windows else 0
         heapq.heappush(heap, (low - merged[0][0], serial, merged))
         serial += 1

@@ -90,15 +90,19 @@ class Memo:
         """Place of each piece in ``sizes`` and ``starts``."""
         if len(self.place) > self.limit:
             self._clear()
-        fresh = list(dict.fromkeys(p for p in pieces if p not in self.place))
-        if fresh or self.values is None:
+        found = list(map(self.place.get, pieces))
+        missing = [i for i, at in enumerate(found) if at is None]
+        if missing or self.values is None:
+            fresh = list(dict.fromkeys([pieces[i] for i in missing]))
             sizes, values = self.make(fresh)
             self.place.update(zip(fresh, range(len(self.place), len(self.place) + len(fresh))))
             total = 0 if self.values is None else len(self.values)
             self.starts = np.concatenate([self.starts, total + np.cumsum(sizes) - sizes])
             self.sizes = np.concatenate([self.sizes, sizes])
             self.values = values if self.values is None else np.concatenate([self.values, values])
-        return np.fromiter(map(self.place.__getitem__, pieces), np.int64, len(pieces))
+            for i in missing:
+                found[i] = self.place[pieces[i]]
+        return np.array(found, np.int64)
 
     def runs(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ends of the runs at the given places, and their joined values."""
