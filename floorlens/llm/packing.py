@@ -17,8 +17,11 @@ coded in stretches of its words' own cache and yields its full windows at once.
 from __future__ import annotations
 
 import heapq
+import json
+import re
 from collections.abc import Iterator
-from itertools import count
+from functools import lru_cache
+from itertools import chain, count
 from operator import itemgetter
 
 import numpy as np
@@ -36,23 +39,69 @@ BLOCK = 1024
 END_ID = 1
 BORDER = "<|endoftext|>"
 CACHED = 400_000
-STRETCH_BYTES = 2 << 20
+STRETCH_BYTES = 1 << 20
+#: Lower-case Latin letters, then ASCII marks but the apostrophe: the tokenizer's rules leave such a word as it is and cut it there.
+PLAIN = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+RULES = [
+    {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ]},
+]
+
+
+def byte_letters() -> dict[int, int]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if it prints, else one from 256 on."""
+    prints = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = count(256)
+    return {b: b if b in prints else next(others) for b in range(256)}
 
 
 class WordIds:
     """Ids of words by a public tokenizer that drops white space; results are kept by word.
 
     White space always ends a token and yields none, so the ids of a text are those of its words. A-Z are
-    lower-cased before the look-up, as the tokenizer itself does. New words are coded many at a time with
-    a special token between them; words that could hold one are coded alone.
+    lower-cased before the look-up, as the tokenizer itself does. Plain words go to the tokenizer's model, letters and
+    marks apart, if its rules are ``RULES``. Others are coded many at a time with a special token between them; words
+    that could hold one are coded alone.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.border = self.tokenizer.token_to_id(BORDER)
+        self.rules = [json.loads(p.__getstate__()) if p else None for p in (self.tokenizer.normalizer, self.tokenizer.pre_tokenizer)]
+        self.model, self.letters = self.tokenizer.model, byte_letters()
+        self.marks = lru_cache(1 << 12)(self._piece)
         self.memo = Memo(self._make, CACHED)
 
+    def _piece(self, piece: str) -> list[int]:
+        """Ids of a piece that the tokenizer's rules leave whole."""
+        if not piece.isascii():
+            piece = piece.encode().decode("latin-1").translate(self.letters)
+        return [t.id for t in self.model.tokenize(piece)] if piece else []
+
     def _make(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes and joined ids of the words."""
+        known, parts, rest = self.rules == RULES, [], []
+        for i, word in enumerate(words):
+            found = PLAIN.fullmatch(word) if known else None
+            if found and "<|" not in word:
+                letters, marks = found.groups()
+                parts.append(self._piece(letters) + self.marks(marks))
+            else:
+                parts.append([])
+                rest.append(i)
+        if rest:
+            sizes, values = self._others([words[i] for i in rest])
+            for i, own in zip(rest, np.split(values, np.cumsum(sizes)[:-1])):
+                parts[i] = own.tolist()
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        return sizes, np.fromiter(chain.from_iterable(parts), np.int32, int(sizes.sum()))
+
+    def _others(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes and joined ids of words that need all of the tokenizer's rules."""
         own = [i for i, w in enumerate(words) if "<|" in w]
         rest = [w for w in words if "<|" not in w] if own else words
         lines = [BORDER.join(["", *rest[i : i + 64]]) for i in range(0, len(rest), 64)]
