@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -112,8 +113,8 @@ def signatures(rows: DataFrame, width: int) -> DataFrame:
 VALUES = [f"v{i}" for i in range(DEPTH)]
 
 
-def orders(classes: DataFrame) -> DataFrame:
-    """One row per class and tree with the tree's signature values."""
+def orders(classes: DataFrame, trees: range = range(TREES)) -> DataFrame:
+    """One row per class and tree with the tree's signature values and the class's ``label``."""
     kind = classes.schema["item"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,24 +122,25 @@ def orders(classes: DataFrame) -> DataFrame:
             for at in range(0, batch.num_rows, 5000):
                 part = batch.slice(at, 5000)
                 matrix = np.frombuffer(b"".join(part.column(1).to_pylist()), np.int16).reshape(part.num_rows, TREES, DEPTH)
-                for tree in range(TREES):
+                for tree in trees:
                     own = np.ascontiguousarray(matrix[:, tree].T)
                     yield pa.RecordBatch.from_arrays(
-                        [part.column(0), pa.array(np.full(part.num_rows, tree, np.int32)), *map(pa.array, own)],
-                        ["item", "tree", *VALUES])
+                        [part.column(0), part.column(2), pa.array(np.full(part.num_rows, tree, np.int32)), *map(pa.array, own)],
+                        ["item", "label", "tree", *VALUES])
 
-    return classes.select("item", "signature").mapInArrow(run, f"item {kind}, tree int, " + ", ".join(f"{v} short" for v in VALUES))
+    return classes.select("item", "signature", "label").mapInArrow(run, f"item {kind}, label {kind}, tree int, " + ", ".join(f"{v} short" for v in VALUES))
 
 
 def neighbours(rows: DataFrame) -> DataFrame:
-    """``a`` and ``b``: links that connect neighbours in an order with a common prefix of ``SHALLOW`` values or more.
+    """``a`` and ``b``: links between the labels of neighbours in an order with a common prefix of ``SHALLOW`` values or more.
 
-    A run of such neighbours is linked as stars of up to ``STAR`` rows, centre to centre, so paths are short and
-    no row has many links. Each task links the rows it holds; its first and last row are linked with those of the
-    tasks beside it in a second step over these alone.
+    Neighbours of one label need no link. A run of such neighbours is linked as stars of up to ``STAR`` rows, centre to
+    centre, so paths are short and no row has many links. Each task links the rows it holds; its first and last row are
+    linked with those of the tasks beside it in a second step over these alone.
     """
     kind = rows.schema["item"].dataType.simpleString()
-    names = ["a", "b", "item", "tree", *VALUES]
+    carried = ["item", "label", "tree", *VALUES]
+    names = ["a", "b", *carried]
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,14 +152,15 @@ def neighbours(rows: DataFrame) -> DataFrame:
             keys = np.stack([held.column(n).to_numpy() for n in ["tree", *VALUES]])
             linked = (keys[: SHALLOW + 1, 1:] == keys[: SHALLOW + 1, :-1]).all(axis=0)
             hit = np.flatnonzero(linked)
-            items = held.column("item")
-            none = lambda n: [pa.nulls(n, held.schema.field(c).type) for c in ["item", "tree", *VALUES]]
+            labels = held.column("label")
+            none = lambda n: [pa.nulls(n, held.schema.field(c).type) for c in carried]
             if len(hit):
                 first = np.maximum.accumulate(np.where(np.insert(linked, 0, False), 0, np.arange(len(linked) + 1)))
                 centre = first[hit] + (hit - first[hit]) // STAR * STAR
-                yield pa.RecordBatch.from_arrays([items.take(pa.array(centre)), items.take(pa.array(hit + 1)), *none(len(hit))], names)
+                links_ = pa.RecordBatch.from_arrays([labels.take(pa.array(centre)), labels.take(pa.array(hit + 1)), *none(len(hit))], names)
+                yield links_.filter(pc.not_equal(links_.column(0), links_.column(1)))
             edge = lambda row: pa.RecordBatch.from_arrays(
-                [pa.nulls(1, items.type), pa.nulls(1, items.type), *[row.column(c) for c in ["item", "tree", *VALUES]]], names)
+                [pa.nulls(1, labels.type), pa.nulls(1, labels.type), *[row.column(c) for c in carried]], names)
             if last is None:
                 yield edge(held.slice(0, 1))
             last = held.slice(held.num_rows - 1, 1)
@@ -167,14 +170,14 @@ def neighbours(rows: DataFrame) -> DataFrame:
     order = ["tree", *VALUES, "item"]
     found = pin(
         rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(
-            run, f"a {kind}, b {kind}, item {kind}, tree int, " + ", ".join(f"{v} short" for v in VALUES)
+            run, f"a {kind}, b {kind}, item {kind}, label {kind}, tree int, " + ", ".join(f"{v} short" for v in VALUES)
         )
     )
     before = Window.partitionBy("tree").orderBy(*VALUES, "item")
     equal = F.lit(True)
     for v in VALUES[:SHALLOW]:
         equal = equal & (F.col(v) == F.lag(v).over(before))
-    edges = found.where("tree IS NOT NULL").select(F.lag("item").over(before).alias("a"), F.col("item").alias("b"), equal.alias("equal"))
+    edges = found.where("tree IS NOT NULL").select(F.lag("label").over(before).alias("a"), F.col("label").alias("b"), equal.alias("equal"))
     return found.where("tree IS NULL").select("a", "b").union(edges.where("equal AND a <> b").select("a", "b"))
 
 
@@ -195,21 +198,37 @@ def similar(tasks: DataFrame) -> DataFrame:
     return rows.groupBy("task").applyInArrow(run, "task string, item long")
 
 
+def clustered(classes: DataFrame) -> DataFrame:
+    """``item`` and ``component``: the candidate cluster of each class.
+
+    The first ``FIRST`` trees are linked by class. The others link what these have joined, so a class that all trees place in
+    one cluster counts with the links of the first trees only, and not with those of all.
+    """
+    def joined(labels: DataFrame, trees: range) -> DataFrame:
+        links_ = pin(neighbours(orders(labels, trees)))
+        found = components(links_)
+        out = pin(labels.join(found, F.col("label") == F.col("node"), "left").select("item", F.coalesce("component", "label").alias("label")))
+        unpin(links_)
+        return out
+
+    signed = classes.select("item", "signature")
+    first = joined(signed.withColumn("label", F.col("item")), range(FIRST))
+    return joined(signed.join(first, "item"), range(FIRST, TREES)).withColumnRenamed("label", "component")
+
+
 def compared(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``task`` and ``item``: which classes are compared with each other first, and ``item`` and ``region`` of large clusters."""
-    rows = orders(classes)
-    links_ = pin(neighbours(rows))
-    clusters = components(links_)
+    clusters = clustered(classes)
     sizes = pin(clusters.groupBy("component").agg(F.count("*").alias("n")))
-    clusters = clusters.join(sizes, "component").withColumnRenamed("node", "item")
+    clusters = clusters.join(sizes.where("n > 1"), "component")
     small = clusters.where(F.col("n") <= REGION).select(F.concat(F.lit("c"), F.col("component").cast("string")).alias("task"), "item")
     small = similar(small.withColumn("component", F.col("item")).join(classes.select("item", "signature"), "item"))
     large = pin(clusters.where(F.col("n") > REGION).select("item"))
-    regions = pin(orders(classes.join(large, "item", "left_semi")).select("item", "tree", F.concat_ws(".", "tree", *VALUES[:SHALLOW]).alias("region")))
+    regions = pin(orders(classes.join(large, "item", "left_semi").withColumn("label", F.col("item"))).select("item", "tree", F.concat_ws(".", "tree", *VALUES[:SHALLOW]).alias("region")))
     own = blocks(regions.where(F.col("tree") < FIRST))
     first = own.select(F.concat_ws("/", F.concat(F.lit("r"), F.col("region")), "block").alias("task"), "item")
     tasks = pin(small.union(first))
-    unpin(links_, sizes, large)
+    unpin(sizes, large)
     return tasks, regions.select("item", "region")
 
 
@@ -331,9 +350,10 @@ def grouped(rows: DataFrame, docs: DataFrame, width: int, percent: int, text: st
     wanted = tasks.select("item").union(regions.select("item")).distinct().join(classes.select("item", "of"), "item")
     bodies = docs.where(F.col(text).isNotNull()).select(_of(text).alias("of"), F.col(text).alias("body")).groupBy("of").agg(F.first("body").alias("body"))
     texts = pin(bodies.join(pin(wanted).hint("merge"), "of").select("item", "body"))
-    first = links(tasks, texts, width, percent)
-    open_ = still_open(regions, components(first), classes)
-    edges = first.union(links(open_, texts, width, percent))
+    known = components(links(tasks, texts, width, percent))
+    open_ = still_open(regions, known, classes)
+    # What is known goes on as a star by component, not as all links that made it known.
+    edges = known.select(F.col("node").alias("a"), F.col("component").alias("b")).union(links(open_, texts, width, percent))
     unpin(tasks, texts, open_)
     if same:
         held = rows.where("mark IS NOT NULL").select(F.col(same).alias("same"), "mark").distinct()
