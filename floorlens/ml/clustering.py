@@ -1,7 +1,7 @@
 """Player clusters: K-Means over standardised behaviour, K chosen by silhouette.
 
-All starts of all cluster counts move together: a pass over the rows gives counts and sums by start and cluster, and
-starts that have settled drop out. Starts are seeded by k-means|| (Bahmani et al. 2012), also together: rows
+All starts of all cluster counts move together: a pass over the rows gives counts and sums by start and cluster, by
+matrix products over all starts of one cluster count, and starts that have settled drop out. Starts are seeded by k-means|| (Bahmani et al. 2012), also together: rows
 are drawn by hashes of their key, so a task that runs again draws the same rows. Sums are of integers, so the same
 centres come out under any partitioning. The driver holds centres and candidates, whose number does not depend on the rows.
 """
@@ -26,12 +26,16 @@ from floorlens.session import pin
 
 SEED = 42
 UNIT = 1 << 24
-ROWS, CHUNK = 1 << 16, 1 << 12
+ROWS, CHUNK, STRIP = 1 << 16, 1 << 12, 1 << 8
 STEPS, ROUNDS, TOLERANCE = 2, 500, 1e-4
 
 
 def scaled(players: DataFrame) -> DataFrame:
-    """Active players with standardised features, written once for the many passes that follow."""
+    """Active players with standardised features, written once for the many passes that follow.
+
+    The players are written first, as the checks, the medians and the deviations read them too.
+    """
+    players = pin(players)
     checked = datasets.numeric(datasets.validate(players, datasets.SEGMENTS), datasets.SEGMENT_NUMERIC)
     filled = [f"{c}_filled" for c in datasets.SEGMENT_NUMERIC]
     stages = [
@@ -84,13 +88,61 @@ def _drawn(marks: np.ndarray, seed: int, step: int) -> np.ndarray:
     return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(float) / 2**53
 
 
-def _nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Nearest centre of each row (the first on a tie) and its squared distance."""
-    far = (x**2).sum(axis=1)[:, None] - 2 * x @ centres.T + (centres**2).sum(axis=1)
+def _nearest(x: np.ndarray, centres: np.ndarray, squares: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Nearest centre of each row (the first on a tie) and its squared distance; ``squares`` are the rows' own, if known."""
+    squares = (x**2).sum(axis=1) if squares is None else squares
+    far = squares[:, None] - 2 * x @ centres.T + (centres**2).sum(axis=1)
     best = far.argmin(axis=1)
     return best, np.maximum(far[np.arange(len(x)), best], 0.0)
 
 
+def _all_nearest(cells: np.ndarray, centres: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``_nearest`` of the rows for each of the starts."""
+    x = cells / UNIT
+    squares = (x**2).sum(axis=1)
+    return (_nearest(x, c, squares) for c in centres)
+
+
+def stacked(centres: list[np.ndarray]) -> list[tuple[int, list[int], np.ndarray]]:
+    """The starts by number of clusters: that number, their places, and all their centres as factors of a row and 1.
+
+    The product with (x, 1) is the squared distance less the row's own square, by cluster and then by start.
+    """
+    places: dict[int, list[int]] = {}
+    for i, c in enumerate(centres):
+        places.setdefault(len(c), []).append(i)
+    out = []
+    for k, own in places.items():
+        c = np.stack([centres[i] for i in own], axis=1).reshape(k * len(own), -1)
+        out.append((k, own, np.concatenate([-2 * c, (c**2).sum(axis=1)[:, None]], axis=1)))
+    return out
+
+
+def assigned_sums(cells: np.ndarray, groups: list[tuple[int, list[int], np.ndarray]]) -> list[np.ndarray]:
+    """For each start the sums of the rows' cells by nearest centre (the first on a tie), then the rows of each centre.
+
+    All starts of one number of clusters are two products. Sums of ``CHUNK`` rows are integers that a double holds exactly.
+    """
+    width = cells.shape[1]
+    totals = [np.zeros((len(factors), width + 1)) for _, _, factors in groups]
+    for at in range(0, len(cells), STRIP):
+        part = cells[at : at + STRIP].astype(float)
+        one = np.ones((len(part), 1))
+        rows, columns = np.concatenate([part, one], axis=1), np.concatenate([part / UNIT, one], axis=1).T
+        for total, (k, own, factors) in zip(totals, groups):
+            far = (factors @ columns).reshape(k, -1)
+            hit = far == far.min(axis=0)
+            if np.count_nonzero(hit) > far.shape[1]:
+                hit &= np.cumsum(hit, axis=0) == 1
+            total += hit.reshape(len(factors), -1).astype(float) @ rows
+    out = [np.empty(0)] * sum(len(own) for _, own, _ in groups)
+    for total, (k, own, _) in zip(totals, groups):
+        by_start = total.astype(np.int64).reshape(k, len(own), width + 1)
+        for j, i in enumerate(own):
+            out[i] = np.concatenate([by_start[:, j, :width].ravel(), by_start[:, j, width]])
+    return out
+
+
 def _sum(chunks: Iterator, make: Callable, joins: list[Callable]) -> list:
     out = None
     for marks, cells in chunks:
@@ -117,19 +169,18 @@ def seed(data: RDD, starts: list[Start], width: int) -> None:
     held = _first_rows(data, starts, width)
     joined = lambda a, b: [x + y for x, y in zip(a, b)]
     for step in range(1, STEPS + 1):
-        costs = lambda marks, cells: [np.array([_nearest(cells / UNIT, c)[1].sum() for c in held])]
+        costs = lambda marks, cells: [np.array([far.sum() for _, far in _all_nearest(cells, held)])]
         (total,) = combined(data, lambda row: _sum(_chunks(row, width), costs, [np.add]), [np.add])
 
         def draw(marks: np.ndarray, cells: np.ndarray) -> list:
             out = []
-            for s, c, cost in zip(starts, held, total):
-                far = _nearest(cells / UNIT, c)[1]
+            for s, cost, (_, far) in zip(starts, total, _all_nearest(cells, held)):
                 out.append([tuple(r) for r in cells[_drawn(marks, s.seed, step) * cost < 2 * s.k * far].tolist()])
             return [out]
 
         (found,) = combined(data, lambda row: _sum(_chunks(row, width), draw, [joined]), [joined])
         held = [np.concatenate([c, np.array(sorted(set(f)), float).reshape(-1, width) / UNIT]) for c, f in zip(held, found)]
-    weigh = lambda marks, cells: [[np.bincount(_nearest(cells / UNIT, c)[0], minlength=len(c)) for c in held]]
+    weigh = lambda marks, cells: [[np.bincount(label, minlength=len(c)) for c, (label, _) in zip(held, _all_nearest(cells, held))]]
     (weights,) = combined(data, lambda row: _sum(_chunks(row, width), weigh, [joined]), [joined])
     for s, candidates, weight in zip(starts, held, weights):
         s.centres = reduced(candidates, weight, s.k, s.seed)
@@ -168,19 +219,9 @@ def move(data: RDD, starts: list[Start], width: int, n: int, rounds: int = ROUND
     limit = tolerance * float(np.mean(square / n - (total / n) ** 2))
     going = list(starts)
     for _ in range(rounds):
-        centres = [s.centres for s in going]
-
-        def sums(marks: np.ndarray, cells: np.ndarray) -> list:
-            out = []
-            for c in centres:
-                label = _nearest(cells / UNIT, c)[0]
-                place = (label[:, None] * width + np.arange(width)).ravel()
-                own = np.bincount(place, cells.ravel(), len(c) * width).astype(np.int64)
-                out.append(np.concatenate([own, np.bincount(label, minlength=len(c))]))
-            return out
-
+        groups = stacked([s.centres for s in going])
         joins = [np.add] * len(going)
-        found = combined(data, lambda row: _sum(_chunks(row, width), sums, joins), joins)
+        found = combined(data, lambda row: _sum(_chunks(row, width), lambda marks, cells: assigned_sums(cells, groups), joins), joins)
         still = []
         for s, own in zip(going, found):
             k = len(s.centres)
@@ -193,7 +234,7 @@ def move(data: RDD, starts: list[Start], width: int, n: int, rounds: int = ROUND
         going = still
         if not going:
             break
-    costs = lambda marks, cells: [np.array([_nearest(cells / UNIT, s.centres)[1].sum() for s in starts])]
+    costs = lambda marks, cells: [np.array([far.sum() for _, far in _all_nearest(cells, [s.centres for s in starts])])]
     (cost,) = combined(data, lambda row: _sum(_chunks(row, width), costs, [np.add]), [np.add])
     for s, c in zip(starts, cost):
         s.cost = float(c)
