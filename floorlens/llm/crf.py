@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from floorlens.llm.words import Memo, strings, text_batches, words_of
+from floorlens.session import size_batches
 
 BITS = 16
 SAMPLE_DOCS = 300
@@ -39,7 +40,8 @@ SPANS = 6
 ROUNDS = 40
 STEP = 0.1
 STRETCH_BYTES = 2 << 20
-CELLS = 1 << 19
+CELLS = 1 << 17
+NEW_WORDS = 1 << 14
 UNKNOWN = "und"
 
 
@@ -230,44 +232,58 @@ def shares(texts: pa.Array, field: Field, memo: Memo) -> np.ndarray:
     return out
 
 
+def judge(batches: Iterator[pa.RecordBatch], column: str, field: Field) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+    """The batches in stretches, with the language, score and shares of each text in ``column``."""
+
+    def make(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        # Some words at a time: features of a word are many times as large as the word.
+        runs = [words[i : i + NEW_WORDS] for i in range(0, max(len(words), 1), NEW_WORDS)]
+        return np.ones(len(words), np.int64), np.concatenate([emissions(*features(r), field.weights).astype(np.float32) for r in runs])
+
+    memo = Memo(make)
+    for batch in batches:
+        for part in text_batches(batch, column, STRETCH_BYTES):
+            texts = part.column(column)
+            known = pc.match_substring_regex(texts, r"\p{L}").to_numpy(zero_copy_only=False)
+            if field.languages:
+                found = shares(texts, field, memo)
+                best = found.argmax(axis=1)
+                names = np.where(known, np.array(field.languages, object)[best], UNKNOWN)
+                scores = np.where(known, np.minimum(found[np.arange(len(best)), best], 1.0), 0.0)
+            else:
+                found = np.zeros((len(texts), 0))
+                names, scores = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
+            yield part, names, scores, found
+
+
 def predict(docs: DataFrame, field: Field, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Key, ``lang_pred``, ``score`` and ``shares`` (of words, by the field's languages in order)."""
+    size_batches(docs.sparkSession)
     rows = docs.select(F.col(key), F.col(text).alias("body"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def make(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            return np.ones(len(words), np.int64), emissions(*features(words), field.weights).astype(np.float32)
-
-        memo = Memo(make)
-        for batch in batches:
-            for part in text_batches(batch, "body", STRETCH_BYTES):
-                texts = part.column("body")
-                known = pc.match_substring_regex(texts, r"\p{L}").to_numpy(zero_copy_only=False)
-                if field.languages:
-                    found = shares(texts, field, memo)
-                    best = found.argmax(axis=1)
-                    names = np.where(known, np.array(field.languages, object)[best], UNKNOWN)
-                    scores = np.where(known, np.minimum(found[np.arange(len(best)), best], 1.0), 0.0)
-                else:
-                    found = np.zeros((len(texts), 0))
-                    names, scores = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
-                lists = pa.ListArray.from_arrays(
-                    pa.array(np.arange(len(texts) + 1, dtype=np.int32) * found.shape[1]), pa.array(found.ravel())
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(names, pa.string()), pa.array(scores), lists], [key, "lang_pred", "score", "shares"]
-                )
+        for part, names, scores, found in judge(batches, "body", field):
+            lists = pa.ListArray.from_arrays(
+                pa.array(np.arange(len(names) + 1, dtype=np.int32) * found.shape[1]), pa.array(found.ravel())
+            )
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array(names, pa.string()), pa.array(scores), lists], [key, "lang_pred", "score", "shares"]
+            )
 
     schema = T.StructType([rows.schema[key], *T.StructType.fromDDL("lang_pred string, score double, shares array<double>")])
     return rows.mapInArrow(run, schema)
 
 
 def accept(docs: DataFrame, least: float = 0.35, text: str = "text", label: str = "lang", key: str = "doc_id") -> DataFrame:
-    """The rows whose language is known with a score of ``least`` at least, with the columns they came with."""
+    """The rows whose language is known with a score of ``least`` at least, with the columns they came with.
+
+    ``text`` is one of these columns, so each text goes to the worker and back once.
+    """
     field = fit(docs, F.lit(True), text, label, key)
-    spot = "_row"
-    while spot in docs.columns:
-        spot += "_"
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(spot), F.col(text).alias("_text"))
-    found = predict(rows, field, spot, "_text").where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
-    return found.select(f"{spot}.*")
+    size_batches(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, names, scores, _ in judge(batches, text, field):
+            yield part.filter(pa.array((names != UNKNOWN) & (scores >= least)))
+
+    return docs.mapInArrow(run, docs.schema)

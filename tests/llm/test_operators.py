@@ -5,6 +5,7 @@ import collections
 import hashlib
 import math
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from floorlens.llm import arc, byte_bpe, crf, flat_graph, interleave, lsh_forest, packing, ppm, quality, url_rules
+from floorlens.session import BATCH_BYTES
 
 SF = "/root/testdata/sf0.001"
 ODD = [
@@ -166,6 +168,45 @@ def test_language_of_held_out_documents(documents, odd, empty):
     assert {r.lang_pred for r in crf.predict(odd, crf.fit(empty, F.lit(True))).collect()} == {"und"}
 
 
+def test_language_gets_batches_by_bytes_and_each_text_once(spark, documents, odd):
+    """Before, a worker got 10,000 texts at a time, those of ``accept`` twice."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = spark.conf.get(name, None)
+    spark.conf.unset(name)
+    try:
+        got = crf.accept(documents)
+        sent = got._jdf.queryExecution().analyzed().children().head()
+        assert list(sent.schema().fieldNames()) == documents.columns
+
+        def sizes(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["size"])
+
+        long = spark.range(0, 3000, 1, 1).select(F.repeat(F.lit("word "), 1000).alias("text"))
+        found = [r.size for r in long.mapInArrow(sizes, "size long").collect()]
+        assert max(found) < 1.2 * BATCH_BYTES and sum(found) > 6 * BATCH_BYTES
+        best = crf.predict(documents, crf.fit(documents, F.lit(True))).where("lang_pred <> 'und' AND score >= 0.35").select("doc_id")
+        assert sorted(map(str, got.collect())) == sorted(map(str, documents.join(best, "doc_id", "left_semi").select(*documents.columns).collect()))
+        kept = crf.accept(odd)
+        assert kept.schema == odd.schema and {r.doc_id for r in kept.collect()} == {None, 4, 5, 6, 7, 8, 9}
+    finally:
+        spark.conf.unset(name) if held is None else spark.conf.set(name, held)
+
+
+def test_language_of_new_words_is_found_some_words_at_a_time():
+    """Memory follows the words of a run; before, features of all new words of 2 MB were made at once."""
+    draw = random.Random(4)
+    texts = [" ".join("".join(draw.choices("abcdefghij", k=7)) for _ in range(1000)) for _ in range(200)]
+    field = crf.train([("a", 0, "one two three"), ("b", 1, "vier sechs acht")])
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    tracemalloc.start()
+    rows = [(names.tolist(), scores.tolist()) for _, names, scores, _ in crf.judge(iter([batch]), "text", field)]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(len(names) for names, _ in rows) == 200 and all(0.5 <= x <= 1 for _, scores in rows for x in scores)
+    assert most < 150e6
+
+
 def test_shards_follow_the_mixture(documents, odd, empty):
     rows = interleave.interleaved(documents).toPandas()
     counts = rows.groupby("shard").size()
