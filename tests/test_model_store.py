@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from floorlens.ml import model_store, pipelines, training
+from floorlens.plans import trained
 from tests.fixtures import rows
 from tests.test_ml import _players
 
@@ -73,3 +74,14 @@ def test_boosting_survives_the_store(spark):
         model_store.save(run, key)
         kept = model_store.load(spark, key)
         assert scored.exceptAll(pipelines.prediction(kept.model, df, "p")).count() == 0
+
+
+def test_churn_validation_reads_its_features_and_scores_each_row_once(spark, monkeypatch):
+    """Before, both runs computed the features, and measures and stores predicted the same rows again and again."""
+    made, scored, predicted = [], [], pipelines.probability
+    monkeypatch.setattr(trained.features, "player_churn", lambda floor: made.append(1) or _players(spark))
+    monkeypatch.setattr(pipelines, "CHURN_FOREST", pipelines.Forest(4, 3, 2))
+    monkeypatch.setattr(pipelines, "probability", lambda *a: scored.append(1) or predicted(*a))
+    assert trained.churn_validation(None).count() == 5
+    # Two candidates, five folds and the model of all rows.
+    assert len(made) == 1 and len(scored) == 8
