@@ -53,6 +53,18 @@ def test_day_statistics_are_joined_not_windowed(spark):
     assert "Window" not in _plan(features.machine_anomaly(bind(spark, SF)))
 
 
+def test_anomalies_derive_machine_days_once(spark):
+    """Before, the day statistics joined and shuffled the transactions a second time."""
+    assert "l_orderkey" not in _plan(features.machine_anomaly(bind(spark, SF)))
+
+
+def test_machine_days_shuffle_transactions_once(spark):
+    """Before, two distinct counts tripled the transactions and shuffled them, ids and all, twice."""
+    plan = views.machine_daily(bind(spark, SF))._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and "distinct" not in plan
+    assert len(re.findall(r"Exchange hashpartitioning\(activity_date", plan)) == 2  # transactions and events
+
+
 def test_favourites_are_trimmed_before_the_shuffle(spark):
     assert "WindowGroupLimit" in _plan(player.preferred_location(bind(spark, SF)))
 

@@ -32,6 +32,22 @@ def test_daily_view_edges(spark):
     assert two["actual_hold_pct"] is None and two["downtime_minutes"] == 0 and two["availability_pct"] == 1
 
 
+def test_daily_view_counts_what_sessions_and_players_share(spark):
+    given = [("S1", "P1"), ("S1", "P1"), ("S1", "P2"), ("S2", "P1"), (None, "P3"), (None, None), ("S3", None), ("S4", "P2")]
+    floor = make_floor(
+        spark, location=[{}, {"location_id": "L2"}], machine=[{}],
+        transaction=[
+            *[{"session_id": s, "player_id": p} for s, p in given],
+            {"session_id": "S1", "transaction_timestamp": "2024-01-02 00:00:00"},
+            {"session_id": "S1", "location_id": "L2"},
+        ],
+    )
+    got = {(str(r["activity_date"]), r["location_id"]): r for r in rows(views.machine_daily(floor))}
+    counts = {k: (r["transaction_count"], r["session_count"], r["unique_player_count"]) for k, r in got.items()}
+    assert counts == {("2024-01-01", "L1"): (8, 4, 3), ("2024-01-02", "L1"): (1, 1, 1), ("2024-01-01", "L2"): (1, 1, 1)}
+    assert got["2024-01-01", "L1"]["total_wager"] == 800
+
+
 def test_location_view_drops_sessions_away_from_home(spark):
     floor = make_floor(
         spark, location=[{}, {"location_id": "L2"}], machine=[{}],
