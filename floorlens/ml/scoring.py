@@ -129,10 +129,12 @@ def maintenance_summary(prioritised: DataFrame) -> DataFrame:
     )
 
 
-def anomaly_output(df: DataFrame, limit: float = 3) -> DataFrame:
+def anomaly_output(df: DataFrame, limit: float = 3, drop: list[str] = [], only: Column | None = None) -> DataFrame:
     """Machine-days with percentile, tier, reason and exposure of their anomaly score.
 
-    Needs ``anomaly_score`` and ``isolation_forest_anomaly_flag``.
+    Needs ``anomaly_score`` and ``isolation_forest_anomaly_flag``. Percentiles are among all machine-days. For callers
+    that need less, columns in ``drop`` are left out, and of rows for which ``only`` (a condition on the key) does not
+    hold nothing but key and score is ranked, and none is returned.
     """
     kept = [
         "activity_date", "machine_id", "location_id", "manufacturer", "game_title", "game_category",
@@ -142,11 +144,12 @@ def anomaly_output(df: DataFrame, limit: float = 3) -> DataFrame:
         "revenue_per_active_hour", "revenue_z_score", "wager_z_score", "downtime_z_score",
         "rule_based_anomaly_flag", "isolation_forest_anomaly_flag", "anomaly_score",
     ]
-    ranked = with_global_ranks(
-        df.select(*kept),
-        [Ranking("anomaly_score", {"anomaly_percentile": "average_pct"})],
-        ["activity_date", "machine_id", "location_id"],
-    )
+    key = ["activity_date", "machine_id", "location_id"]
+    carried = df.select(*[c for c in kept if c not in drop])
+    if only is not None:
+        carried = carried.withColumns({c: F.when(only, F.col(c)) for c in carried.columns if c not in (*key, "anomaly_score")})
+    ranked = with_global_ranks(carried, [Ranking("anomaly_score", {"anomaly_percentile": "average_pct"})], key)
+    ranked = ranked if only is None else ranked.where(only)
     reason = (
         F.when(F.col("critical_event_count") > 0, "Critical machine event")
         .when(F.col("downtime_z_score") >= limit, "Unusually high downtime")
@@ -170,6 +173,13 @@ def anomaly_output(df: DataFrame, limit: float = 3) -> DataFrame:
     )
 
 
+#: What ``anomaly_machine_summary`` does not need of an output.
+NOT_SUMMARISED = [
+    "game_category", "transaction_count", "session_count", "unique_player_count", "total_wager", "total_payout", "jackpot_amount",
+    "actual_hold_pct", "event_count", "investigation_count", "availability_pct", "revenue_per_active_hour",
+]
+
+
 def anomaly_machine_summary(output: DataFrame) -> DataFrame:
     keys = ["machine_id", "location_id", "manufacturer", "game_title", "software_version"]
     score = (

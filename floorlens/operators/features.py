@@ -228,7 +228,11 @@ def machine_anomaly(floor: Floor, limit: float = ANOMALY_LIMIT) -> DataFrame:
     gather every machine of a day into one task. Machine-days are written once for both sides: no side joins and
     shuffles the transactions again.
     """
-    daily = pin(machine_daily(floor))
+    return with_anomalies(pin(machine_daily(floor)), limit)
+
+
+def with_anomalies(daily: DataFrame, limit: float = ANOMALY_LIMIT) -> DataFrame:
+    """Machine-days, which are read twice, with z-scores and flag."""
     measures = {"revenue": "net_gaming_revenue", "wager": "total_wager", "downtime": "downtime_minutes"}
     stats = []
     for name, column in measures.items():

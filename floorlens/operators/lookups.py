@@ -192,8 +192,12 @@ def player_segments(
     return page_of(found, order, page, page_size, after)
 
 
+def is_one(key: str, value: str) -> Column:
+    return F.upper(key) == value.upper()
+
+
 def one(df: DataFrame, key: str, value: str) -> DataFrame:
-    return df.where(F.upper(key) == value.upper())
+    return df.where(is_one(key, value))
 
 
 def player_detail(churn: DataFrame, segments: DataFrame, player_id: str) -> DataFrame:

@@ -19,7 +19,8 @@ from floorlens.ml import datasets, evaluation, isolation, scoring, segments
 from floorlens.operators import features, lookups, tiers
 from floorlens.operators.reports.executive import daily_activity
 from floorlens.operators.reports.player import active_players
-from floorlens.session import pin
+from floorlens.operators.views import machine_daily
+from floorlens.session import pin, unpin
 from floorlens.sources.bind import Floor
 
 SESSION_BANDS = [(46, 3), (38, 2), (30, 1)]
@@ -44,7 +45,9 @@ def anomaly(floor: Floor) -> DataFrame:
     # The z-scores are decimals, so their sum and its ties are the same in every engine.
     parts = [F.coalesce(F.abs(f"{m}_z_score"), F.lit(0)) for m in ("revenue", "wager", "downtime")]
     score = (parts[0] + parts[1] + parts[2]).cast("double")
-    scored = pin(features.machine_anomaly(floor).withColumn("anomaly_score", score))
+    daily = pin(machine_daily(floor))
+    scored = pin(features.with_anomalies(daily).withColumn("anomaly_score", score))
+    unpin(daily)
     return isolation.flag(scored, isolation.contamination(scored))
 
 
@@ -61,8 +64,8 @@ def failure_output(floor: Floor) -> DataFrame:
     return scoring.failure_scores(failure(floor))
 
 
-def anomaly_output(floor: Floor) -> DataFrame:
-    return scoring.anomaly_output(anomaly(floor))
+def anomaly_output(floor: Floor, **less) -> DataFrame:
+    return scoring.anomaly_output(anomaly(floor), **less)
 
 
 def retention(floor: Floor) -> DataFrame:
@@ -74,7 +77,7 @@ def maintenance(floor: Floor) -> DataFrame:
 
 
 def anomaly_summary(floor: Floor) -> DataFrame:
-    return scoring.anomaly_machine_summary(anomaly_output(floor))
+    return scoring.anomaly_machine_summary(anomaly_output(floor, drop=scoring.NOT_SUMMARISED))
 
 
 def daily_rows(floor: Floor) -> DataFrame:
@@ -312,7 +315,9 @@ LOOKUPS: dict[str, Callable[[Floor], DataFrame]] = {
     "a13_machine_detail": lambda floor: lookups.machine_detail(
         failure_output(floor), maintenance(floor), anomaly_summary(floor), "m7"
     ),
-    "a13_machine_top_anomalies": lambda floor: lookups.machine_top_anomalies(anomaly_output(floor), "m7"),
+    "a13_machine_top_anomalies": lambda floor: lookups.machine_top_anomalies(
+        anomaly_output(floor, only=lookups.is_one("machine_id", "m7")), "m7"
+    ),
     "a14_forecast_accuracy": lambda floor: lookups.forecast_accuracy(
         weekly_output(floor), "net_gaming_revenue", "selected_predicted_revenue"
     ),

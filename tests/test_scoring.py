@@ -3,6 +3,8 @@ from pyspark.sql import functions as F
 
 from floorlens.ml import datasets, evaluation, scoring, segments
 from floorlens.operators import lookups, tiers
+from floorlens.plans import scored
+from floorlens.sources.bind import bind
 from tests.fixtures import rows
 
 
@@ -154,3 +156,16 @@ def test_service_queue_order(spark):
                                "id int, severity string, sla_target_minutes int, age_minutes int")
     got = [(r["id"], r["sla_status"]) for r in rows(lookups.service_queue(df))]
     assert got == [(2, "Breached"), (3, "At Risk"), (1, "Within SLA"), (4, "Within SLA")]
+
+
+def test_less_of_an_anomaly_output_is_the_same(spark):
+    """Before, the machine summary and one machine's days carried every column of every machine-day through the ranking."""
+    found = scored.anomaly(bind(spark, "/root/testdata/sf0.001")).cache()
+    whole = scoring.anomaly_output(found).cache()
+    of_one = scoring.anomaly_output(found, only=lookups.is_one("machine_id", "m7"))
+    assert of_one.columns == whole.columns and of_one.count() > 5
+    assert of_one.exceptAll(lookups.one(whole, "machine_id", "m7")).count() == 0
+    assert of_one.count() == lookups.one(whole, "machine_id", "m7").count()
+    less = scoring.anomaly_output(found, drop=scoring.NOT_SUMMARISED)
+    assert not set(scoring.NOT_SUMMARISED) & set(less.columns)
+    assert scoring.anomaly_machine_summary(less).exceptAll(scoring.anomaly_machine_summary(whole)).count() == 0

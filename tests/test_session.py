@@ -23,3 +23,20 @@ def test_partitions_grow_with_the_rows(spark, monkeypatch, tmp_path):
     finally:
         for n, value in held.items():
             spark.conf.unset(n) if value is None else spark.conf.set(n, value)
+
+
+def test_pin_leaves_no_shuffle_files(spark):
+    """Before, what was shuffled for a pinned frame stayed on disk until the driver collected its garbage."""
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled() -> set[str]:
+        found = manager.getAllBlocks()
+        return {name for i in range(found.size()) if (name := found.apply(i).name()).startswith("shuffle_")}
+
+    before, setting = shuffled(), spark.conf.get(session.CLEANUP)
+    pinned = session.pin(spark.range(1000).repartition(5, "id"))
+    assert shuffled() <= before and spark.conf.get(session.CLEANUP) == setting
+    assert pinned.count() == 1000
+    with session._shuffles_removed(spark), session._shuffles_removed(spark):
+        assert spark.conf.get(session.CLEANUP) == "true"
+    assert spark.conf.get(session.CLEANUP) == setting
