@@ -113,3 +113,18 @@ def test_machine_days_are_computed_once(spark, monkeypatch):
     days = spark.createDataFrame(data, names).withColumn("rule_based_anomaly_flag", F.col("flagged").cast("int")).drop("flagged")
     found = isolation.detect(days.mapInPandas(counted, days.schema), trees=5, sample=32)
     assert found.count() == 560 and read.value == 560
+
+
+def test_detection_writes_machine_days_and_scores_alone(spark, monkeypatch):
+    """Before, the standardised values were written and shuffled too, and scores joined to machine-days, which lost null locations."""
+    rng = np.random.default_rng(7)
+    data = [(dt.date(2024, 1, 1 + i % 28), f"M{i // 28}", "L1" if i else None, i % 9 == 0, *map(float, rng.normal(size=len(datasets.ANOMALY_NUMERIC)))) for i in range(560)]
+    names = ["activity_date", "machine_id", "location_id", "flagged", *datasets.ANOMALY_NUMERIC]
+    days = spark.createDataFrame(data, names).withColumn("rule_based_anomaly_flag", F.col("flagged").cast("int")).drop("flagged")
+    written, pin = [], isolation.pin
+    monkeypatch.setattr(isolation, "pin", lambda df: written.append(df.columns) or pin(df))
+    found = isolation.detect(days, trees=5, sample=32)
+    assert written == [days.columns, [*days.columns, "anomaly_score"]]
+    assert found.count() == 560 and found.select(days.columns).exceptAll(days).count() == 0
+    kept = pin(days)
+    assert isolation.detect(kept, trees=5, sample=32).exceptAll(found).count() == 0 and len(written) == 3 and kept.count() == 560
