@@ -65,6 +65,13 @@ def test_machine_days_shuffle_transactions_once(spark):
     assert len(re.findall(r"Exchange hashpartitioning\(activity_date", plan)) == 2  # transactions and events
 
 
+def test_churn_features_shuffle_sessions_once_by_player(spark):
+    """Before, two distinct counts tripled the sessions and shuffled them by player and place, then by player."""
+    plan = features.player_churn(bind(spark, SF))._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
+    assert len(re.findall(r"Exchange hashpartitioning\(player_id#\d+, \d", plan)) == 2  # sessions and players
+
+
 def test_favourites_are_trimmed_before_the_shuffle(spark):
     assert "WindowGroupLimit" in _plan(player.preferred_location(bind(spark, SF)))
 

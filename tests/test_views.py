@@ -1,3 +1,4 @@
+import datetime as dt
 from decimal import Decimal as D
 
 import pytest
@@ -187,3 +188,19 @@ def test_productivity_steps(spark, value, label):
     floor = make_floor(spark, location=[{}], machine=[{}], session=[{"net_gaming_revenue": value}])
     (got,) = rows(location.productivity(floor))
     assert got["machine_productivity_segment"] == label
+
+
+def test_churn_counts_places_of_the_past_alone(spark):
+    given = [("L1", "M1", 1), ("L1", "M2", 2), ("L2", "M2", 3), (None, "M3", 3), ("L1", None, 4), ("L3", "M4", 200), ("L1", "M1", 200)]
+    floor = make_floor(
+        spark, player=[{}, {"player_id": "P2"}],
+        session=[
+            *[{"location_id": l, "machine_id": m, "session_start": str(dt.datetime(2024, 1, 1) + dt.timedelta(days=d))} for l, m, d in given],
+            {"player_id": "P2", "session_start": "2024-01-05 10:00:00"},
+        ],
+    )
+    got = {r["player_id"]: r for r in rows(features.player_churn(floor))}
+    one = got["P1"]
+    assert (one["total_historical_sessions"], one["future_session_count"]) == (5, 2)
+    assert (one["locations_visited"], one["machines_played"]) == (2, 3)
+    assert (got["P2"]["locations_visited"], got["P2"]["churn_flag"]) == (1, 1)
